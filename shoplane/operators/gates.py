@@ -170,11 +170,8 @@ def volume_gate(flags: DataFrame, since: Column | None = None) -> DataFrame:
     return counted.select(*_row("orders: daily volume", WARN, F.col("_days"), F.col("_first")))
 
 
-def require_green(reports: DataFrame) -> list:
-    """Collect the report (one row per check) and raise if any error-level check failed."""
-    rows = reports.orderBy("check").collect()
-    broken = [row for row in rows if row.severity == ERROR and row.failed_rows > 0]
+def raise_if_broken(rows: list) -> None:
+    """Raise if any error-level check of a collected report failed."""
+    broken = [row for row in rows if row["severity"] == ERROR and row["failed_rows"] > 0]
     if broken:
-        listing = "; ".join(f"{row.check}: {row.failed_rows} (e.g. {row.sample})" for row in broken)
-        raise GateFailure(listing)
-    return rows
+        raise GateFailure("; ".join(f"{row['check']}: {row['failed_rows']} (e.g. {row['sample']})" for row in broken))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplane.functions.scalars import TOTAL, day_of, earns, total
 from shoplane.operators.gates import ERROR, WARN
+from shoplane.operators.lookup import without_match
 
 CASCADE = "multi_failure_cascade"
 CASCADE_PARTS = ("missing_customer", "volume_spike", "schema_drift")
@@ -176,7 +179,7 @@ def driver_gate(drivers: DataFrame) -> DataFrame:
     )
 
 
-def detected_in_orders(orders: DataFrame, removed: DataFrame) -> DataFrame:
+def detected_in_orders(orders: DataFrame, removed: DataFrame, statuses: Sequence[str]) -> DataFrame:
     """Failures seen in order rows, as ``failure_key`` and ``item``; a row may show several.
 
     ``removed`` are the rows deduplication took out. A wrong total is blamed on a bulk overwrite only where quantity
@@ -190,17 +193,20 @@ def detected_in_orders(orders: DataFrame, removed: DataFrame) -> DataFrame:
         "invalid_quantity": bad_quantity,
         "negative_price": bad_price,
         "destructive_fix": wrong_total & ~bad_quantity & ~bad_price,
+        "malformed_data": ~F.col("status").isin(*statuses),
     }
-    found = orders.select(
-        F.col("order_id").alias("item"),
-        F.explode(F.array_compact(F.array(*[F.when(sign, F.lit(key)) for key, sign in signs.items()]))).alias(
-            "failure_key"
-        ),
-    )
-    copies = removed.select(F.col("order_id").alias("item"), F.lit("duplicate_order").alias("failure_key"))
+    keys = F.array_compact(F.array(*[F.when(sign, F.lit(key)) for key, sign in signs.items()]))
+    found = orders.select(F.explode(keys).alias("failure_key"), F.col("order_id").alias("item"))
+    copies = removed.select(F.lit("duplicate_order").alias("failure_key"), F.col("order_id").alias("item"))
     return found.unionByName(copies)
 
 
+def detected_in_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
+    """Payments without order, as ``failure_key`` and ``item``."""
+    orphans = without_match(payments, orders, "order_id", "order_id", "payment_id")
+    return orphans.select(F.lit("orphan_payment").alias("failure_key"), F.col("payment_id").alias("item"))
+
+
 def expand_cascade(ledger: DataFrame) -> DataFrame:
     """Ledger keys with the cascade replaced by its parts."""
     parts = F.array(*[F.lit(part) for part in CASCADE_PARTS])
