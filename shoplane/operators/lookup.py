@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 256
 SALTS = 64
+BROADCAST_ROWS = 200_000  # rows of a few narrow columns: tens of megabytes
 
 
 def hottest_keys(fact: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
@@ -26,28 +27,38 @@ def hottest_keys(fact: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
 
 
 def balanced_lookup(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread: str, salts: int = SALTS
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    spread: str,
+    keys_from: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` on a key that is unique in ``dim``; ``dim_key`` stays in the result.
 
-    The hottest keys of ``fact`` are spread over ``salts`` partitions by ``spread`` (a row id) and their few ``dim`` rows
-    are copied once per salt. NULL keys never match, so they are spread too. The result is that of the plain left join.
+    ``dim`` is counted first: up to ``broadcast_rows`` rows it is broadcast and ``fact`` is not shuffled at all. Beyond
+    that both sides are shuffled, the hottest keys of ``fact`` spread over ``salts`` partitions by ``spread`` (a row id)
+    and their few ``dim`` rows copied once per salt. NULL keys never match, so they are spread too. Either way the
+    result is that of the plain left join. ``keys_from`` is a cheaper table with the same keys as ``fact``.
     """
     if fact_key == dim_key:
         raise ValueError("rename one key: both sides keep theirs")
-    hot = F.broadcast(hottest_keys(fact, fact_key))
+    if dim.count() <= broadcast_rows:
+        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key), "left")
+    hot = F.broadcast(hottest_keys(fact if keys_from is None else keys_from, fact_key))
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    spread_out = F.col("hot_key").isNotNull() | F.col(fact_key).isNull()
     salted_fact = (
         fact.join(hot, F.col(fact_key) == F.col("hot_key"), "left")
-        .withColumn(
-            "_salt", F.when(F.col("hot_key").isNotNull() | F.col(fact_key).isNull(), salt).otherwise(F.lit(0))
-        )
+        .withColumn("_salt", F.when(spread_out, salt).otherwise(F.lit(0)))
         .drop("hot_key")
     )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    every_salt, no_salt = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
     salted_dim = (
         dim.join(hot, F.col(dim_key) == F.col("hot_key"), "left")
-        .withColumn("_dim_salt", F.explode(F.when(F.col("hot_key").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))))
+        .withColumn("_dim_salt", F.explode(F.when(F.col("hot_key").isNotNull(), every_salt).otherwise(no_salt)))
         .drop("hot_key")
     )
     matches = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt"))

@@ -63,8 +63,8 @@ def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, pay
     people = customers.select(F.col("customer_id").alias("_customer"), "segment", "country")
     goods = products.select(F.col("product_id").alias("_product"), "category", "cost")
     covered = payment_coverage(orders, payments)
-    described = balanced_lookup(covered, people, "customer_id", "_customer", "order_id")
-    described = balanced_lookup(described, goods, "product_id", "_product", "order_id")
+    described = balanced_lookup(covered, people, "customer_id", "_customer", "order_id", keys_from=orders)
+    described = balanced_lookup(described, goods, "product_id", "_product", "order_id", keys_from=orders)
     cost = (F.col("cost") * F.col("quantity")).cast("decimal(14,2)")
     return described.select(
         "order_id",

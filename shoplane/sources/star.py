@@ -83,16 +83,20 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of one product line each, spread over all parts."""
-    parts = read_star(spark, folder, "part").select(F.count("*")).scalar()
+    return as_orders(read_star(spark, folder, "orders"), spark, folder)
+
+
+def as_orders(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Star-schema order rows, batch or stream, as retail orders."""
+    parts = read_star(spark, folder, "part").count()
     quantity = (F.lit(1) + F.pmod(F.col("o_orderkey"), F.lit(6))).cast("int")
     status_at = F.pmod(F.col("o_orderkey") + F.col("o_custkey"), F.lit(5))
     catalogue = products(spark, folder).select("product_id", "unit_price")
     return (
-        read_star(spark, folder, "orders")
-        .select(
+        rows.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.pmod(F.col("o_orderkey"), parts).alias("product_id"),
+            F.pmod(F.col("o_orderkey"), F.lit(parts)).alias("product_id"),
             quantity.alias("quantity"),
             _one_of(status_at, ORDER_STATUSES).alias("status"),
             F.col("o_orderdate").cast("timestamp").alias("ordered_at"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplane.contracts import ORDERS
-from shoplane.functions.scalars import day_of
+from shoplane.functions.scalars import utc
 from shoplane.operators.capture import latest_version
 from shoplane.operators.gates import freshness
 from shoplane.operators.staging import deduplicate
@@ -35,34 +35,47 @@ def change_stream(
     return reader.parquet(folder)
 
 
-def land_batch(lake: Lake, batch: DataFrame, batch_id: int, as_of: datetime | None = None) -> None:
-    """Log one batch, rebuild the days it touches and note how fresh the lane is."""
-    tagged = batch.withColumn("order_day", day_of("ordered_at")).withColumn("batch_id", F.lit(batch_id))
-    lake.overwrite_days(tagged, LOG, "order_day", "batch_id")
-    log = lake.read_log(LOG)
-    if log is None or log.isEmpty():
+def land_batch(
+    lake: Lake, batch: DataFrame, batch_id: int, as_of: datetime | None = None, grain: str = "day"
+) -> None:
+    """Log one batch, rebuild the spans it touches and note how fresh the lane is.
+
+    A span is a day, or a coarser ``grain`` such as a month where days hold few rows. An order keeps its ``ordered_at``
+    for life; everything else of it may change from batch to batch.
+    """
+    span = F.date_trunc(grain, "ordered_at").cast("date")
+    tagged = batch.withColumn("span", span).withColumn("batch_id", F.lit(batch_id))
+    lake.overwrite_days(tagged, LOG, "span", "batch_id")
+    log = lake.read_log(LOG, tagged.schema)
+    if log is None:
         return
-    touched = log.filter(F.col("batch_id") == batch_id).select("order_day").distinct()
-    days = F.broadcast(touched)  # one row per calendar day at most
-    rebuilt = deduplicate(latest_version(log.join(days, "order_day", "left_semi"), "order_id", "batch_id"))
-    lake.overwrite_days(rebuilt.drop("batch_id"), STAGED, "order_day")
-    staged = lake.read_log(STAGED).join(days, "order_day", "left_semi")
-    lines, current = fct_daily_revenue(staged), lake.read(DAILY)
+    touched = log.filter(F.col("batch_id") == batch_id).select("span").distinct()
+    spans = F.broadcast(touched)  # one row per calendar day at most
+    rebuilt = deduplicate(latest_version(log.join(spans, "span", "left_semi"), "order_id", "batch_id")).drop("batch_id")
+    lake.overwrite_days(rebuilt, STAGED, "span")
+    staged, current = lake.read_log(STAGED, rebuilt.schema), lake.read(DAILY)
+    lines = fct_daily_revenue(staged.join(spans, "span", "left_semi"))
     if current is not None:
-        gone = touched.withColumnRenamed("order_day", "day")
-        lines = lines.unionByName(current.join(F.broadcast(gone), "day", "left_anti"))
+        line_span = F.date_trunc(grain, "day").cast("date")
+        lines = lines.unionByName(current.join(spans, line_span == F.col("span"), "left_anti"))
     lake.replace(lines.coalesce(1), DAILY)
     if as_of is not None:
-        moment = F.timestamp_seconds(F.lit(int(as_of.timestamp())))
-        note = freshness({"orders": lake.read_log(STAGED)}, moment).withColumn("batch_id", F.lit(batch_id))
+        note = freshness({"orders": staged}, utc(as_of)).withColumn("batch_id", F.lit(batch_id))
         lake.overwrite_days(note.coalesce(1), FRESHNESS, "batch_id")
 
 
-def sync_orders(stream: DataFrame, lake: Lake, checkpoint: str, as_of: datetime | None = None, every: str | None = None):
+def sync_orders(
+    stream: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    as_of: datetime | None = None,
+    every: str | None = None,
+    grain: str = "day",
+):
     """Run ``land_batch`` over the stream: until all landed files are in, or every so often (``every="1 minute"``)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        land_batch(lake, batch, batch_id, as_of)
+        land_batch(lake, batch, batch_id, as_of, grain)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
