@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from shoplane.contracts import DOMAINS, NATURAL_KEY, PRIMARY_KEYS, TABLES
+from shoplane.contracts import DOMAINS, NATURAL_KEY, ORDERS, PRIMARY_KEYS, PRODUCTS, TABLES
 from shoplane.functions.scalars import day_of, utc
 from shoplane.operators import gates, reconcile
 from shoplane.operators.capture import diff
@@ -44,6 +44,15 @@ def all_gates(staged: Mapping[str, DataFrame], domains: Domains) -> DataFrame:
     return gates.union_all(reports)
 
 
+def timely_gates(orders: DataFrame, as_of: datetime) -> list[DataFrame]:
+    """Volume of the last two days, from orders as landed, and freshness."""
+    now = utc(as_of)
+    return [
+        gates.volume_gate(questions.volume_flags(orders), F.date_sub(day_of(now), 1)),
+        gates.freshness_gate(orders, "ordered_at", now),
+    ]
+
+
 def build(
     lake: Lake, source: Mapping[str, DataFrame], as_of: datetime, domains: Domains = DOMAINS, strict: bool = True
 ) -> BuildResult:
@@ -55,7 +64,7 @@ def build(
     """
     for table, contract in TABLES.items():
         gates.require_contract(source[table], table, contract)
-    now, today = utc(as_of), day_of(utc(as_of))
+    today = day_of(utc(as_of))
 
     staged = {table: lake.write(stage(source[table], TABLES[table]), f"landed_{table}") for table in TABLES}
     rows = {table: lake.open(written) for table, written in staged.items()}
@@ -81,10 +90,9 @@ def build(
     matched = reconcile.reconcile(rows["orders"], fact_rows, removed, set_aside, today)
     reports = [
         all_gates(rows, domains),
+        *timely_gates(rows["orders"], as_of),
         reconcile.agreement_gate(matched),
-        gates.volume_gate(questions.volume_flags(rows["orders"]), F.date_sub(today, 1)),
-        gates.freshness_gate(rows["orders"], "ordered_at", now),
-        *_against_last_build(lake, rows, today),
+        *against_last_build(rows, lake.read("landed_orders"), lake.read("landed_products"), _stored(lake), today),
     ]
     report = _judge(lake, gates.union_all(reports), as_of, strict)
     lake.publish(outputs)
@@ -93,21 +101,29 @@ def build(
     return BuildResult({name: lake.open(written) for name, written in outputs.items()}, report)
 
 
-def _against_last_build(lake: Lake, rows: Mapping[str, DataFrame], today) -> list[DataFrame]:
+def _stored(lake: Lake) -> DataFrame | None:
+    return lake.read_log("control_totals")
+
+
+def against_last_build(
+    rows: Mapping[str, DataFrame],
+    orders_before: DataFrame | None,
+    products_before: DataFrame | None,
+    stored: DataFrame | None,
+    today: Column,
+) -> list[DataFrame]:
     """Gates that need an earlier build: closed days unchanged, late rows, revenue drivers."""
-    before, stored = lake.read("landed_orders"), lake.read_log("control_totals")
-    if before is None or stored is None:
+    if orders_before is None or products_before is None or stored is None:
         return []
     last_closed = stored.select(F.max("day")).scalar()
-    arrived = rows["orders"].join(before.select("order_id"), "order_id", "left_anti")
+    arrived = rows["orders"].join(orders_before.select("order_id"), "order_id", "left_anti")
     late = reconcile.totals_per_day(arrived).filter(F.col("day") <= last_closed)
     current = reconcile.totals_per_day(rows["orders"]).filter(F.col("day") <= last_closed)
     history = reconcile.reconcile_history(stored, current, late, today)
+    orders, products = ORDERS.fieldNames(), PRODUCTS.fieldNames()
     drivers = reconcile.revenue_drivers(
-        diff(before.drop("cast_errors"), rows["orders"].drop("cast_errors"), "order_id", by_fingerprint=True),
-        diff(
-            lake.read("landed_products").drop("cast_errors"), rows["products"].drop("cast_errors"), "product_id", True
-        ),
+        diff(orders_before.select(*orders), rows["orders"].select(*orders), "order_id", by_fingerprint=True),
+        diff(products_before.select(*products), rows["products"].select(*products), "product_id", by_fingerprint=True),
     )
     return [reconcile.history_gate(history), reconcile.driver_gate(drivers)]
 

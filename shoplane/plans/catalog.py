@@ -85,13 +85,10 @@ def revenue_by_country(spark, folder):
     return questions.revenue_by(star.orders(spark, folder), star.customers(spark, folder), "customer_id", "country")
 
 
-def _facts(tables: dict[str, DataFrame]) -> DataFrame:
-    return marts.fct_orders(tables["orders"], tables["customers"], tables["products"], tables["payments"])
-
-
 @query
 def revenue_grouping_sets(spark, folder):
-    return questions.revenue_cuts(_facts(star.defect_tables(spark, folder)))
+    customers, products = star.customers(spark, folder), star.products(spark, folder)
+    return questions.revenue_cuts(marts.described_orders(star.defect_orders(spark, folder), customers, products))
 
 
 @query
@@ -225,7 +222,8 @@ def dim_products(spark, folder):
 
 @query
 def fct_orders(spark, folder):
-    return _facts(star.defect_tables(spark, folder))
+    tables = star.defect_tables(spark, folder)
+    return marts.fct_orders(tables["orders"], tables["customers"], tables["products"], tables["payments"])
 
 
 @query
@@ -575,15 +573,14 @@ def synth_payments(spark, folder):
 
 
 def _order_files(spark, folder) -> DataFrame:
-    schema = star.read_star(spark, folder, "orders").schema
-    return sync.change_stream(spark, folder, schema, glob="orders.parquet")
+    return sync.change_stream(spark, folder, star.STAR_SCHEMAS["orders"], glob="orders.parquet")
 
 
 @query
 def stream_daily_revenue(spark, folder):
     """The orders synced as a stream of change files, with daily revenue rebuilt per batch."""
     lake = Lake(spark, scratch_path(spark, "sync"))
-    stream = star.as_orders(_order_files(spark, folder), spark, folder)
+    stream = star.streamed_orders(_order_files(spark, folder), spark, folder)
     sync.sync_orders(stream, lake, scratch_path(spark, "sync-checkpoint"), grain="month").awaitTermination()
     return lake.read(sync.DAILY)
 
@@ -598,7 +595,6 @@ def stream_dedup(spark, folder):
 
 @query
 def stream_order_rate(spark, folder):
-    schema = star.read_star(spark, folder, "events").schema
-    events = sync.change_stream(spark, folder, schema, glob="events.parquet")
+    events = sync.change_stream(spark, folder, star.STAR_SCHEMAS["events"], glob="events.parquet")
     rate = sync.rate_per_window(events, "ts", "1 hour", "10 minutes")
     return sync.drain(rate, scratch_path(spark, "rate"), scratch_path(spark, "rate-checkpoint"))

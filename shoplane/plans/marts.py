@@ -58,17 +58,28 @@ def payment_coverage(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per order with customer and product attributes, margin and payment coverage."""
+def described_orders(
+    orders: DataFrame, customers: DataFrame, products: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Orders with their day, segment and country of the customer, category and cost of the product.
+
+    ``keys_from`` holds the same customer and product keys and is cheaper to scan.
+    """
+    keys_from = orders if keys_from is None else keys_from
     people = customers.select(F.col("customer_id").alias("_customer"), "segment", "country")
     goods = products.select(F.col("product_id").alias("_product"), "category", "cost")
-    covered = payment_coverage(orders, payments)
-    described = balanced_lookup(covered, people, "customer_id", "_customer", "order_id", keys_from=orders)
-    described = balanced_lookup(described, goods, "product_id", "_product", "order_id", keys_from=orders)
+    described = balanced_lookup(orders, people, "customer_id", "_customer", "order_id", keys_from)
+    described = balanced_lookup(described, goods, "product_id", "_product", "order_id", keys_from)
+    return described.drop("_customer", "_product").withColumn("order_day", day_of("ordered_at"))
+
+
+def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame) -> DataFrame:
+    """One row per order with customer and product attributes, margin and payment coverage."""
+    described = described_orders(payment_coverage(orders, payments), customers, products, orders)
     cost = (F.col("cost") * F.col("quantity")).cast("decimal(14,2)")
     return described.select(
         "order_id",
-        day_of("ordered_at").alias("order_day"),
+        "order_day",
         "ordered_at",
         "customer_id",
         "segment",

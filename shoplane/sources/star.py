@@ -32,9 +32,21 @@ COPY_OFFSET = 100000000
 GHOST_ORDER = 999999999
 
 
+# Declared so that no job has to look into the files for them.
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_star(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One star-schema table."""
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def _chosen(failure: str, order_id: str = "order_id") -> Column:
@@ -83,25 +95,29 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of one product line each, spread over all parts."""
-    return as_orders(read_star(spark, folder, "orders"), spark, folder)
+    parts = read_star(spark, folder, "part").select(F.count("*")).scalar()
+    return as_orders(read_star(spark, folder, "orders"), products(spark, folder), parts)
+
+
+def streamed_orders(stream: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a stream of star-schema orders."""
+    return as_orders(stream, products(spark, folder), F.lit(read_star(spark, folder, "part").count()))
 
 
-def as_orders(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Star-schema order rows, batch or stream, as retail orders."""
-    parts = read_star(spark, folder, "part").count()
+def as_orders(rows: DataFrame, goods: DataFrame, parts: Column) -> DataFrame:
+    """Star-schema order rows as retail orders over ``parts`` products with keys from 0."""
     quantity = (F.lit(1) + F.pmod(F.col("o_orderkey"), F.lit(6))).cast("int")
     status_at = F.pmod(F.col("o_orderkey") + F.col("o_custkey"), F.lit(5))
-    catalogue = products(spark, folder).select("product_id", "unit_price")
     return (
         rows.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.pmod(F.col("o_orderkey"), F.lit(parts)).alias("product_id"),
+            F.pmod(F.col("o_orderkey"), parts).alias("product_id"),
             quantity.alias("quantity"),
             _one_of(status_at, ORDER_STATUSES).alias("status"),
             F.col("o_orderdate").cast("timestamp").alias("ordered_at"),
         )
-        .join(catalogue, "product_id")
+        .join(goods.select("product_id", "unit_price"), "product_id")
         .select(
             "order_id",
             "customer_id",

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,19 +86,17 @@ class Lake:
                 return None
             raise
 
-    def _versions(self) -> DataFrame | None:
-        return self._load(f"{self.root}/_versions", VERSION_SCHEMA)
-
-    def current(self, table: str):
-        """The row naming the current version of ``table``, or None."""
-        versions = self._versions()
+    def current(self) -> dict[str, Row]:
+        """The current version of every table: one row per table, read in one job."""
+        versions = self._load(f"{self.root}/_versions", VERSION_SCHEMA)
         if versions is None:
-            return None
-        return versions.filter(F.col("table_name") == table).orderBy(F.desc("version")).first()
+            return {}
+        newest = F.max_by(F.struct("version", "path", "schema"), "version").alias("row")
+        return {found.table_name: found.row for found in versions.groupBy("table_name").agg(newest).collect()}
 
     def read(self, table: str) -> DataFrame | None:
         """The current version of ``table``, or None before the first."""
-        row = self.current(table)
+        row = self.current().get(table)
         return None if row is None else self.open(Written(row.path, row.schema))
 
     def open(self, written: Written) -> DataFrame:
@@ -119,10 +117,11 @@ class Lake:
 
     def publish(self, tables: Mapping[str, Written]) -> None:
         """Make written tables current, all in one append."""
-        rows = []
-        for table, written in tables.items():
-            row = self.current(table)
-            rows.append((table, 1 if row is None else row.version + 1, written.path, written.schema))
+        current = self.current()
+        rows = [
+            (table, current[table].version + 1 if table in current else 1, written.path, written.schema)
+            for table, written in tables.items()
+        ]
         named = self.spark.createDataFrame(rows, VERSION_SCHEMA).coalesce(1)
         named.write.mode("append").parquet(f"{self.root}/_versions")
 

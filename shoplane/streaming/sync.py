@@ -26,7 +26,7 @@ LOG, STAGED, DAILY, FRESHNESS = "raw_orders", "stg_orders", "fct_daily_revenue",
 
 
 def change_stream(
-    spark: SparkSession, folder: str, schema: T.StructType = ORDERS, files_per_batch: int | None = None, glob: str = "*"
+    spark: SparkSession, folder: str, schema: T.StructType | str = ORDERS, files_per_batch: int | None = None, glob: str = "*"
 ) -> DataFrame:
     """Landed change files as a stream."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
