@@ -115,8 +115,8 @@ def _moment(moment: str) -> str:
 
 
 def _cents(amount: str, rows: str) -> str:
-    """Average in cents, rounded half up in whole numbers."""
-    cents = f"(2 * cast({amount} * 100 as hugeint) + {rows}) // (2 * {rows})"
+    """Average in cents, halves rounded away from zero, in whole numbers."""
+    cents = f"sign({amount}) * ((2 * abs(cast({amount} * 100 as hugeint)) + {rows}) // (2 * {rows}))"
     return f"cast(cast({cents} as decimal(20,0)) * cast(0.01 as decimal(3,2)) as double)"
 
 

@@ -107,12 +107,15 @@ class Lake:
     def write(self, df: DataFrame, table: str, partition_by: str | None = None) -> Written:
         """Write ``df`` to a fresh folder; it is not current until ``publish``.
 
-        Rows are rebalanced before the write: small pieces merge, and a day or key with very many rows is split.
+        A partitioned table is rebalanced first: rows of a partition meet in few files, and one with very many rows is
+        split over several tasks. An unpartitioned one is written as it comes, without a shuffle.
         """
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        balanced = df.hint("rebalance") if partition_by is None else df.hint("rebalance", F.col(partition_by))
-        writer = balanced.write.mode("errorifexists")
-        (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(path)
+        if partition_by is None:
+            df.write.mode("errorifexists").parquet(path)
+        else:
+            balanced = df.hint("rebalance", F.col(partition_by))
+            balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
         return Written(path, df.schema.json())
 
     def publish(self, tables: Mapping[str, Written]) -> None:

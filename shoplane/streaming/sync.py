@@ -86,9 +86,17 @@ def with_event_time(stream: DataFrame, moment: str, delay: str) -> DataFrame:
     return stream.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
 
 
-def without_repeats(stream: DataFrame, key: str, moment: str, delay: str) -> DataFrame:
-    """Rows with keys not seen within the watermark delay; the batch deduplication stays the authority."""
-    return with_event_time(stream, moment, delay).dropDuplicatesWithinWatermark([key])
+def without_repeats(stream: DataFrame, key: str, moment: str, delay: str, salts: int = 16) -> DataFrame:
+    """Rows with keys not seen within the watermark delay; the batch deduplication stays the authority.
+
+    Repeats are first dropped per key and reading task, then per key: a key repeated millions of times reaches its
+    final partition at most ``salts`` times in a batch. ``salts=1`` saves the first step where repeats are rare.
+    """
+    timed = with_event_time(stream, moment, delay)
+    if salts > 1:
+        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        timed = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def rate_per_window(stream: DataFrame, moment: str, length: str, delay: str) -> DataFrame:

@@ -13,7 +13,7 @@ from shoplane.contracts import DOMAINS, ORDERS, TABLES
 from shoplane.functions.scalars import utc
 from shoplane.operators import defects, gates, reconcile, staging, synth
 from shoplane.plans import build as builds
-from shoplane.plans import marts, questions
+from shoplane.plans import ingest, marts, questions
 from shoplane.session import configure, scratch_path
 from shoplane.sources import tables as store
 from shoplane.sources.tables import Lake
@@ -92,7 +92,7 @@ def test_lake_versions_and_ledger(spark):
 def test_build_publishes_only_green_tables(spark, shop):
     configure(spark)
     lake = Lake(spark, scratch_path(spark, "build"))
-    result = builds.build(lake, shop, AS_OF)
+    result = builds.build(lake, shop, AS_OF, grain="year")
     assert not [row for row in result.report if row.severity == "error" and row.failed_rows]
     daily = lake.read("fct_daily_revenue")
     assert rows_of(daily.select("day", "orders", "gross_revenue", "net_revenue")) == rows_of(
@@ -103,7 +103,7 @@ def test_build_publishes_only_green_tables(spark, shop):
 
     zeroed = defects.inject(shop, "destructive_fix", defects.Context(AS_OF)).tables
     with pytest.raises(gates.GateFailure, match="closed days unchanged"):
-        builds.build(lake, zeroed, AS_OF)
+        builds.build(lake, zeroed, AS_OF, grain="year")
     assert rows_of(lake.read("fct_daily_revenue")) == rows_of(daily)
 
     drifted = defects.inject(shop, "schema_drift", defects.Context(AS_OF)).tables
@@ -111,7 +111,7 @@ def test_build_publishes_only_green_tables(spark, shop):
         builds.build(lake, drifted, AS_OF)
 
     spoiled = defects.inject(shop, "malformed_data", defects.Context(AS_OF)).tables
-    loose = builds.build(lake, spoiled, AS_OF, strict=False)
+    loose = builds.build(lake, spoiled, AS_OF, strict=False, grain="year")
     assert lake.read("quarantine_orders").count() == 25
     assert lake.read("stg_orders").count() == shop["orders"].count() - 25
     checks = {row.check: row.failed_rows for row in loose.report}
@@ -140,6 +140,26 @@ def test_accounting_holds_under_any_defects(spark, shop):
     assert tuple(sums) == (450, 4)
 
 
+def test_landing_by_key_and_by_snapshot(spark, shop):
+    lake = Lake(spark, scratch_path(spark, "ingest"))
+    orders = shop["orders"]
+    early = orders.filter("order_id <= 1000 and order_id != 990")
+    assert ingest.land_new(lake, early, "orders") == 0
+    assert ingest.land_new(lake, orders, "orders", lookback=50) == 1000
+    assert rows_of(ingest.landed(lake, "orders")) == rows_of(orders)
+    ingest.land_new(lake, orders, "orders", lookback=50)
+    assert ingest.landed(lake, "orders").count() == orders.count()
+
+    assert {row.change for row in ingest.land_snapshot(lake, orders, "orders").select("change").collect()} == {"insert"}
+    zeroed, _ = defects.zero_latest(orders.filter("order_id != 5"), 10)
+    changes = ingest.land_snapshot(lake, zeroed, "orders").groupBy("change").count().collect()
+    assert {row.change: row["count"] for row in changes} == {"update": 10, "delete": 1}
+    assert rows_of(lake.read("raw_orders")) == rows_of(zeroed)
+    drifted = orders.withColumnRenamed("customer_id", "user_id")
+    with pytest.raises(gates.GateFailure):
+        ingest.land_new(lake, drifted, "orders")
+
+
 BASE = datetime(2026, 1, 1, tzinfo=UTC)
 
 
