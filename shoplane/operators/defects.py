@@ -7,7 +7,7 @@ touched; whether that is recorded in the incident ledger is up to the caller.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -20,6 +20,7 @@ from shoplane.operators.numbering import next_key
 from shoplane.operators.quantiles import incident_counts
 from shoplane.operators.selection import indexed_sample, latest_rows, sample_rows, update_where
 from shoplane.operators.staging import customer_column
+from shoplane.sources.tables import Lake
 
 Tables = dict[str, DataFrame]
 
@@ -338,3 +339,10 @@ def get(key: str) -> Defect:
 def inject(tables: Tables, key: str, context: Context) -> Injection:
     """Apply one defect. Silent: nothing is recorded unless the caller appends ``records`` to the ledger."""
     return get(key).apply(tables, context)
+
+
+def inject_recorded(lake: Lake, tables: Tables, key: str, context: Context) -> Injection:
+    """Apply one defect and append its records to the lake's ledger; a cascade leaves one row per part."""
+    done = inject(tables, key, replace(context, ledger=lake.ledger()))
+    lake.record(done.records, utc(context.as_of))
+    return done

@@ -163,6 +163,11 @@ def late_signups(spark, folder):
     return questions.late_signups(star.orders(spark, folder), customers)
 
 
+@query
+def malformed_statuses(spark, folder):
+    return questions.malformed_statuses(star.defect_orders(spark, folder), star.star_domains()["orders"]["status"])
+
+
 @query
 def timing_percentiles(spark, folder):
     timed = quantiles.exact_quantiles(star.timings(spark, folder), "question", "seconds", (0.95, 0.99))

@@ -424,6 +424,8 @@ SQL = {
         {_moment('signup')} as created_at from v_orders o
         join (select customer_id, created_at + cast(customer_id as int) * interval 1 day as signup from v_customers) c
         on c.customer_id = o.customer_id where ordered_at < signup""",
+    "malformed_statuses": f"""select order_id, status, true as noise from d_orders
+        where status not in ({STATUS_LIST})""",
     "timing_percentiles": """select event_type as question, p as probability, count(value) as rows,
         round(case when p = 0.95 then quantile_cont(value, 0.95) else quantile_cont(value, 0.99) end, 4) as quantile
         from events, (values (cast(0.95 as double)), (cast(0.99 as double))) t(p) group by event_type, p""",

@@ -6,10 +6,12 @@ then sees each key once, however many orders a single customer or product holds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplane.functions.scalars import TOTAL, day_of, earns, total
+from shoplane.functions.scalars import TOTAL, earns, noise_in_text, total
 from shoplane.operators.daily import (
     daily_totals,
     day_over_day,
@@ -111,6 +113,14 @@ def uncovered_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
+def uncovered_facts(facts: DataFrame) -> DataFrame:
+    """Question 4 from the fact table, which carries the coverage already."""
+    gap = (F.col("total_amount") - F.col("paid")).cast(TOTAL)
+    return facts.filter(F.col("coverage") != "ok").select(
+        "order_id", "total_amount", "paid", gap.alias("gap"), "coverage"
+    )
+
+
 def orphan_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Question 5: rows and value of orders without customer or product and of payments without order."""
     orders, payments = tables["orders"], tables["payments"]
@@ -164,8 +174,8 @@ def late_signups(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def control_totals(orders: DataFrame) -> DataFrame:
-    """Rows and value per day, for reconciliation."""
-    return orders.groupBy(day_of("ordered_at").alias("day")).agg(
-        F.count("*").alias("rows"), total(F.col("total_amount")).alias("amount")
+def malformed_statuses(orders: DataFrame, statuses: Sequence[str]) -> DataFrame:
+    """Orders with a status outside the accepted ones, and whether it is noise rather than an unknown word."""
+    return orders.filter(~F.col("status").isin(*statuses)).select(
+        "order_id", "status", noise_in_text(F.col("status")).alias("noise")
     )

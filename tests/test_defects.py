@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 
 from shoplane.contracts import DOMAINS, TABLES
 from shoplane.functions.scalars import day_of, utc
-from shoplane.operators import defects, gates, reconcile, staging
+from shoplane.operators import defects, gates, quantiles, reconcile, staging
 from shoplane.operators.daily import daily_totals
 from shoplane.plans import build as builds
 from shoplane.plans import questions
-from shoplane.session import settle
+from shoplane.session import scratch_path, settle
+from shoplane.sources.tables import Lake
 
 from conftest import AS_OF
 
@@ -77,9 +79,17 @@ def test_matrix_covers_every_defect():
     assert set(MATRIX) == set(defects.REGISTRY)
 
 
+@pytest.fixture(scope="module")
+def tripped(shop):
+    """Failing checks per defect; small jobs, so several run at a time."""
+    keys = sorted(MATRIX)
+    with ThreadPoolExecutor(6) as pool:
+        return dict(zip(keys, pool.map(lambda key: failing(struck(shop, key).tables), keys), strict=True))
+
+
 @pytest.mark.parametrize("key", sorted(MATRIX))
-def test_defect_trips_its_gates(shop, key):
-    assert failing(struck(shop, key).tables) == MATRIX[key]
+def test_defect_trips_its_gates(tripped, key):
+    assert tripped[key] == MATRIX[key]
 
 
 def test_cascade_behind_the_contract(shop):
@@ -157,6 +167,23 @@ def test_recurring_counts_the_ledger(spark, shop):
     assert defects.inject(shop, "recurring_incident", context).report.first().detail.endswith("(occurrence #3)")
 
 
+def test_recording_is_opt_in_and_numbers_recurrences(spark, shop):
+    lake = Lake(spark, scratch_path(spark, "ledger"))
+    for key in ("recurring_incident", "multi_failure_cascade", "recurring_incident"):
+        done = defects.inject_recorded(lake, shop, key, CONTEXT)
+    assert done.report.first().detail.endswith("(occurrence #2)")
+    recorded = sorted((row.incident_id, row.failure_key) for row in lake.ledger().collect())
+    assert [key for _, key in recorded] == [
+        "recurring_incident",
+        "missing_customer",
+        "volume_spike",
+        "schema_drift",
+        "recurring_incident",
+    ]
+    numbered = {(row.failure_key, row.occurrence) for row in quantiles.occurrences(lake.ledger()).collect()}
+    assert ("recurring_incident", 2) in numbered and ("volume_spike", 1) in numbered
+
+
 def test_drift_is_idempotent_and_others_tolerate_it(shop):
     drifted = struck(shop, "schema_drift").tables
     again = defects.inject(drifted, "schema_drift", CONTEXT)

@@ -13,7 +13,7 @@ from shoplane.contracts import DOMAINS, ORDERS, TABLES
 from shoplane.functions.scalars import utc
 from shoplane.operators import defects, gates, reconcile, staging, synth
 from shoplane.plans import build as builds
-from shoplane.plans import ingest, marts, questions
+from shoplane.plans import ingest, marts, questions, serving
 from shoplane.session import configure, scratch_path
 from shoplane.sources import tables as store
 from shoplane.sources.tables import Lake
@@ -101,6 +101,17 @@ def test_build_publishes_only_green_tables(spark, shop):
     fresh = marts.fct_orders(shop["orders"], shop["customers"], shop["products"], shop["payments"])
     assert rows_of(lake.read("fct_orders").select(*fresh.columns)) == rows_of(fresh)
 
+    served = serving.answers(lake)
+    assert rows_of(served["revenue_cuts"]) == rows_of(questions.revenue_cuts(fresh))
+    assert rows_of(served["top_customers"]) == rows_of(questions.top_customers(shop["orders"], 10))
+    # Traffic carries no payments.
+    assert rows_of(served["uncovered_orders"]) == rows_of(questions.uncovered_orders(shop["orders"], shop["payments"]))
+    assert served["uncovered_orders"].count() == 3
+    assert rows_of(served["volume_flags"]) == rows_of(questions.volume_flags(shop["orders"]))
+    runs = serving.timed_runs(lake, 1)
+    p95, p99 = serving.latency(runs).filter("question = 'all'").orderBy("probability").collect()
+    assert 0 < p95["quantile"] <= p99["quantile"] and p95["rows"] == len(served)
+
     zeroed = defects.inject(shop, "destructive_fix", defects.Context(AS_OF)).tables
     with pytest.raises(gates.GateFailure, match="closed days unchanged"):
         builds.build(lake, zeroed, AS_OF, grain="year")
