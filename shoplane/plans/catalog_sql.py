@@ -41,7 +41,8 @@ select o_orderkey as order_id, o_custkey as customer_id, p.product_id, cast(1 +
   case (o_orderkey + o_custkey) % 5 when 0 then 'placed' when 1 then 'shipped' when 2 then 'delivered'
     when 3 then 'returned' else 'cancelled' end as status,
   cast(o_orderdate as timestamp) as ordered_at
-from orders join v_products p on p.product_id = o_orderkey % (select count(*) from part)""",
+from (select *, o_orderkey % (select count(*) from part) as part_at from orders)
+join v_products p on p.product_id = part_at""",
     "v_payments": """
 select order_id as payment_id, order_id,
   case order_id % 5 when 0 then 'credit_card' when 1 then 'debit_card' when 2 then 'paypal'
