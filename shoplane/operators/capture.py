@@ -30,7 +30,9 @@ def high_mark(landed: DataFrame, key: str) -> int:
 
 
 def _fingerprint(columns: Sequence[str]) -> Column:
-    return F.struct(F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
+    """128 bits of the whole row; the hash passes over NULLs, so which columns are NULL is hashed as well."""
+    values = [*[F.col(name) for name in columns], *[F.col(name).isNull() for name in columns]]
+    return F.struct(F.xxhash64(*values), F.xxhash64(F.lit(1), *values))
 
 
 def diff(old: DataFrame, new: DataFrame, key: str, by_fingerprint: bool = False) -> DataFrame:

@@ -74,8 +74,8 @@ def removed_by_dedup(
 ) -> DataFrame:
     """The orders ``deduplicate`` leaves out.
 
-    The first ids are combined before the shuffle and matched on the unique order id, so a natural key with very many
-    copies is spread like any other rows.
+    The first ids are combined before the shuffle and matched on the order id, so a natural key with very many copies is
+    spread like any other rows. Order ids must be unique, which landing provides and a gate checks.
     """
     firsts = orders.groupBy(*natural_key).agg(F.min(key).alias("_first"))
     return orders.join(firsts, F.col(key) == F.col("_first"), "left_anti")

@@ -171,6 +171,15 @@ def test_diff_then_apply_gives_the_new_snapshot(spark, old, new, by_fingerprint)
     assert rows_of(capture.apply_changes(before, changes, "id")) == rows_of(after)
 
 
+@pytest.mark.parametrize("by_fingerprint", [False, True])
+def test_diff_sees_a_null_that_moved(spark, by_fingerprint):
+    schema = "id bigint, a int, b int"
+    before = spark.createDataFrame([(1, None, 5), (2, 3, None)], schema)
+    after = spark.createDataFrame([(1, 5, None), (2, 3, None)], schema)
+    changes = capture.diff(before, after, "id", by_fingerprint).collect()
+    assert [(row.id, row.change) for row in changes] == [(1, "update")]
+
+
 def test_new_rows_look_back(spark):
     landed = spark.createDataFrame([(1,), (2,), (4,), (9,)], "id bigint")
     source = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 8, 9, 10, 12)], "id bigint")
