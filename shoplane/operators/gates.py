@@ -128,15 +128,16 @@ def contract_report(df: DataFrame, table: str, contract: T.StructType) -> DataFr
 
 
 def contract_gate(spark: SparkSession, schemas: Mapping[str, tuple[T.StructType, T.StructType]]) -> DataFrame:
-    """Contract gate over schemas alone, as (actual, contract) per table: reads no data."""
+    """Contract gate over schemas alone, as (actual, contract) per table: reads no data.
+
+    Missing columns fail; the sample also names extra ones, for a rename shows as both.
+    """
     rows = []
     for table, (schema, contract) in schemas.items():
-        broken = [
-            f"{column} {state}"
-            for column, _, _, state in contract_differences(schema, contract)
-            if state in ("missing", "extra")
-        ]
-        rows.append((f"{table}: contract", ERROR, len(broken), ", ".join(broken) or None))
+        states = [(column, state) for column, _, _, state in contract_differences(schema, contract)]
+        missing = sum(state == "missing" for _, state in states)
+        named = ", ".join(f"{column} {state}" for column, state in states if state in ("missing", "extra"))
+        rows.append((f"{table}: contract", ERROR, missing, named or None))
     return spark.createDataFrame(rows, "check string, severity string, failed_rows bigint, sample string")
 
 

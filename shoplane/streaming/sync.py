@@ -58,9 +58,11 @@ def land_batch(
     if current is not None:
         line_span = F.date_trunc(grain, "day").cast("date")
         lines = lines.unionByName(current.join(spans, line_span == F.col("span"), "left_anti"))
-    lake.replace(lines.coalesce(1), DAILY)
+    daily = lake.replace(lines.coalesce(1), DAILY)
     if as_of is not None:
-        note = freshness({"orders": staged}, utc(as_of)).withColumn("batch_id", F.lit(batch_id))
+        newest_span = daily.agg(F.date_trunc(grain, F.max("day")).cast("date")).first()[0]
+        newest = staged.filter(F.col("span") == F.lit(newest_span))  # one partition, not the whole table
+        note = freshness({"orders": newest}, utc(as_of)).withColumn("batch_id", F.lit(batch_id))
         lake.overwrite_days(note.coalesce(1), FRESHNESS, "batch_id")
 
 

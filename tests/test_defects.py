@@ -92,6 +92,14 @@ def test_defect_trips_its_gates(tripped, key):
     assert tripped[key] == MATRIX[key]
 
 
+def test_contract_names_both_sides_of_a_rename(spark, shop):
+    drifted = struck(shop, "schema_drift").tables["orders"].withColumn("channel", F.lit("web"))
+    report = gates.contract_gate(spark, {"orders": (drifted.schema, TABLES["orders"])}).first()
+    assert report.failed_rows == 1 and report.sample == "customer_id missing, user_id extra, channel extra"
+    added = gates.contract_gate(spark, {"orders": (shop["orders"].withColumn("x", F.lit(1)).schema, TABLES["orders"])})
+    assert added.first().failed_rows == 0
+
+
 def test_cascade_behind_the_contract(shop):
     tables = dict(struck(shop, "multi_failure_cascade").tables)
     tables["orders"] = staging.rename_back(tables["orders"])
