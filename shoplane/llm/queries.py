@@ -77,6 +77,59 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def _cutoff_sql() -> str:
+    """The rules' cutoffs as SQL values: rule, expression's column, cutoff."""
+    return ", ".join(f"('{name}', {value})" for name, (_, values) in quality.RULES.items() for value in values)
+
+
+QUALITY_SQL = f"""
+with raw as (
+  select row_number() over () as rid, doc_id, lang as stratum, coalesce(text, '') as t from documents
+), words as (
+  select rid, doc_id, stratum, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from raw
+), starts as (select rid, w, unnest(generate_series(1, len(w) - 7)) as i from words where len(w) >= 8
+), windows as (select rid, i, list_slice(w, i, i + 7) as g from starts
+), twice as (select rid, i from windows qualify count(*) over (partition by rid, g) > 1
+), covered as (select rid, count(distinct i + o) as n from twice, range(8) s(o) group by rid
+), counts as (
+  select words.rid, doc_id, stratum, cast(len(w) as bigint) as n_words,
+    cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, cast(coalesce(covered.n, 0) as bigint) as n_repeat_words,
+    len(l) as n_lines, length(regexp_replace(t, '[^!]', '', 'g')) as n_shouts
+  from words left join covered on words.rid = covered.rid
+), judged as (
+  select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed,
+    cast(n_symbols as double) / greatest(word_chars, 1) as symbol_share, cast(n_repeat_words as double) / greatest(n_words, 1) as repeat_share,
+    cast(n_dup_lines as double) / greatest(n_lines, 1) as dup_line_share, cast(n_shouts as double) / greatest(n_words, 1) as shout_share,
+    cast(word_chars as double) / greatest(n_words, 1) as word_length from counts
+), features as (
+  select rid, stratum, base_failed, doc_id, unnest(['symbol_share', 'repeat_share', 'dup_line_share', 'shout_share', 'word_length']) as rule,
+    unnest([symbol_share, repeat_share, dup_line_share, shout_share, word_length]) as x from judged
+), marks as (
+  select doc_id, max(quality) = 1 as good from labels where quality is not null and doc_id is not null group by doc_id having min(quality) = max(quality)
+), tries(rule, cut) as (values {_cutoff_sql()}
+), strata as (
+  select count(*) as n from (select distinct stratum from judged join marks using (doc_id) where not base_failed)
+), tests as (
+  select f.stratum, t.rule, t.cut, count(*) filter (where good) as n, count(*) filter (where good and x > t.cut) as k
+  from features f join marks using (doc_id) join tries t on f.rule = t.rule where not base_failed group by all
+), bounds as (
+  select tests.*, {quality.RISK} / {len(quality.RULES)} as p, {quality.DOUBT} / (strata.n * (select count(*) from tries)) as d from tests, strata
+), safe as (
+  select stratum, rule, min(cut) as cut from bounds where n > 0 and k < n * p
+    and (select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(p) + (n - j) * ln(1 - p))) from unnest(generate_series(0, k)) s(j)) <= d
+  group by all
+), rejected as (
+  select distinct f.rid from features f join safe s on f.stratum is not distinct from s.stratum and f.rule = s.rule and f.x > s.cut
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and rid not in (select rid from rejected) as kept
+from judged
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         made.__name__: made
@@ -96,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_risk_controlled_quality": QUALITY_SQL}

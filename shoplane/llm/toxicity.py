@@ -5,7 +5,8 @@ label. With class prior p, a logistic classifier g minimises p * E_pos[loss(g)]
 when the bracket falls below zero the step goes the other way, so the model cannot explain positives inside the unlabelled
 texts away. The prior is the share of toxic rows among the labelled training rows.
 
-Inputs are which of ``n_words`` words a text has. Words are chosen by how far their share among positives exceeds that among
+Inputs are which of ``n_words`` word features a text has: words, word beginnings of four and six letters ("^" before them), and
+beginnings of six letters that two or more of its words share ("^^"), which catch inflected and compound forms. They are chosen by how far their share among positives exceeds that among
 unlabelled texts, counted by Spark over the sample. The sample is bounded by ``max_positive`` and ``max_unlabelled`` texts (in
 expectation: by a hash of the id), so what reaches the driver is at most their sum times ``n_words`` bits. ``n_models``
 classifiers, each on its own part of the unlabelled texts, are averaged. Scoring reads every whole text.
@@ -30,10 +31,14 @@ from shoplane.llm.common import stored, unit_hash
 
 _WORD = re.compile(r"[^\W\d_]+")
 SALT = 4101
+#: A word feature has to be in this share of the positives at least.
+MIN_SHARE = 0.02
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+    words = set(_WORD.findall(text.lower())) if text else set()
+    long = Counter([word[:6] for word in words if len(word) > 6])
+    return words.union([f"^{word[:4]}" for word in words if len(word) > 4], [f"^{start}" for start in long], [f"^^{start}" for start, n in long.items() if n > 1])
 
 
 def sample(documents: DataFrame, labels: DataFrame, learns: Column, max_positive: int, max_unlabelled: int) -> tuple[DataFrame, float]:
@@ -71,19 +76,19 @@ def choose_words(chosen: DataFrame, n_words: int) -> list[str]:
     totals = chosen.agg(F.count_if("positive"), F.count_if("unlabelled")).first()
     n_p, n_u = max(1, totals[0]), max(1, totals[1])
     counts = chosen.select("text", "positive", "unlabelled").mapInArrow(count, "word string, p long, u long")
-    counts = counts.groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).filter("p >= 3")  # fewer say nothing
+    counts = counts.groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).filter(F.col("p") >= max(3, MIN_SHARE * n_p))
     share_p, share_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
     ratio = (share_p - share_u) / F.sqrt(share_u / n_p + share_u / n_u)
     return [row["word"] for row in counts.withColumn("z", ratio).orderBy(F.desc("z"), "word").limit(n_words).select("word").collect()]
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
+def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 200, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights (bias last) of one classifier by Adam on the non-negative risk."""
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     n = positive.shape[1]
-    weights = np.zeros(n + 1)
+    weights = np.zeros(n + 1, np.float32)
     weights[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros(n + 1), np.zeros(n + 1)
+    first, second = np.zeros(n + 1, np.float32), np.zeros(n + 1, np.float32)
 
     def sigmoid(x):
         return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
@@ -106,7 +111,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
     return weights
 
 
-def fit(documents: DataFrame, labels: DataFrame, learns: Column, max_positive: int = 4000, max_unlabelled: int = 12000, n_words: int = 1024, n_models: int = 3):
+def fit(documents: DataFrame, labels: DataFrame, learns: Column, max_positive: int = 4000, max_unlabelled: int = 9000, n_words: int = 512, n_models: int = 3):
     """(word -> weight, bias) learnt from the rows where ``learns``, a condition on doc_id, holds."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
