@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from shoplane.llm.common import stored
 from shoplane.llm.tokens import encoder
 
-PER_BUCKET = 100_000
+PER_BUCKET = 2000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
