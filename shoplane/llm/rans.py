@@ -18,9 +18,9 @@ MAGIC = b"TIDR"
 VERSION = 1
 SCALE_BITS = 18
 LOW = np.uint64(1 << 31)  # states lie in [LOW, LOW << 32)
-LANES = 512
-BLOCK_IDS = 1 << 17
-CHECKPOINT = 128
+LANES = 2048
+BLOCK_IDS = 1 << 18
+CHECKPOINT = 48
 NO_ID = -(1 << 63)
 
 

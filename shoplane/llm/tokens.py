@@ -18,7 +18,7 @@ import numpy as np
 _RARE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
 _TAIL = re.compile(r"^(.*?)([.,!?:;]+)$", re.DOTALL)
 #: The cache is emptied beyond this many words, so its memory is bounded.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_600_000
 
 
 class WordEncoder:

@@ -137,7 +137,7 @@ def test_shard_round_trip(n, top):
 
 
 def test_decoding_from_a_checkpoint():
-    ids = np.random.default_rng(1).integers(0, 300, 150_000)
+    ids = np.random.default_rng(1).integers(0, 300, 250_000)
     symbols, share = rans.frequencies(ids)
     freq, begin = share.astype(np.uint64), np.concatenate([[0], np.cumsum(share)[:-1]]).astype(np.uint64)
     slots = np.repeat(np.arange(len(symbols)), share)
