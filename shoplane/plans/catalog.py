@@ -577,29 +577,38 @@ def synth_payments(spark, folder):
 # Streaming
 
 
-def _order_files(spark, folder) -> DataFrame:
-    return sync.change_stream(spark, folder, star.STAR_SCHEMAS["orders"], glob="orders.parquet")
-
-
 @query
 def stream_daily_revenue(spark, folder):
     """The orders synced as a stream of change files, with daily revenue rebuilt per batch."""
     lake = Lake(spark, scratch_path(spark, "sync"))
-    stream = star.streamed_orders(_order_files(spark, folder), spark, folder)
+    files = sync.table_stream(spark, folder, "orders", star.STAR_SCHEMAS["orders"])
+    stream = star.streamed_orders(files, spark, folder)
     sync.sync_orders(stream, lake, scratch_path(spark, "sync-checkpoint"), grain="month").awaitTermination()
     return lake.read(sync.DAILY)
 
 
 @query
-def stream_dedup(spark, folder):
+def stream_dedup(spark, folder, files_per_batch=None):
     """Every order delivered twice, kept once."""
-    twice = _order_files(spark, folder).withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    kept = sync.without_repeats(twice.drop("delivery"), "o_orderkey", "o_orderdate", "60 days")
-    return sync.drain(kept, scratch_path(spark, "dedup"), scratch_path(spark, "dedup-checkpoint"))
+    lake = Lake(spark, scratch_path(spark, "dedup"))
+    files = sync.table_stream(spark, folder, "orders", star.STAR_SCHEMAS["orders"], files_per_batch)
+    twice = files.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
+
+    def land(batch, batch_id):
+        sync.land_once(lake, batch, batch_id, "orders_once", "o_orderkey", "o_orderdate")
+
+    sync.run_batches(twice, land, scratch_path(spark, "dedup-checkpoint"))
+    return lake.read_log("orders_once").drop("span", "batch_id")
 
 
 @query
-def stream_order_rate(spark, folder):
-    events = sync.change_stream(spark, folder, star.STAR_SCHEMAS["events"], glob="events.parquet")
-    rate = sync.rate_per_window(events, "ts", "1 hour", "10 minutes")
-    return sync.drain(rate, scratch_path(spark, "rate"), scratch_path(spark, "rate-checkpoint"))
+def stream_order_rate(spark, folder, files_per_batch=None):
+    """Events per hour, late ones and the last hour included."""
+    lake = Lake(spark, scratch_path(spark, "rate"))
+    events = sync.table_stream(spark, folder, "events", star.STAR_SCHEMAS["events"], files_per_batch)
+
+    def land(batch, batch_id):
+        sync.land_rate(lake, batch, batch_id, "event_rate", "ts", "1 hour")
+
+    sync.run_batches(events, land, scratch_path(spark, "rate-checkpoint"))
+    return sync.rate_per_window(lake, "event_rate")

@@ -616,7 +616,6 @@ SQL = {
         o_orderpriority from orders""",
     "stream_order_rate": f"""select {_moment("date_trunc('hour', ts)")} as window_start,
         {_moment("date_trunc('hour', ts) + interval 1 hour")} as window_end, count(*) as rows from events
-        where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 10 minute from events)
         group by date_trunc('hour', ts)""",
 }
 

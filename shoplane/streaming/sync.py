@@ -35,6 +35,17 @@ def change_stream(
     return reader.parquet(folder)
 
 
+def table_stream(
+    spark: SparkSession, folder: str, table: str, schema: T.StructType | str, files_per_batch: int | None = None
+) -> DataFrame:
+    """A table as a stream of its files, whether it is one file or a folder of part files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    if status.isDirectory():
+        return change_stream(spark, f"{folder}/{table}.parquet", schema, files_per_batch, "*.parquet")
+    return change_stream(spark, folder, schema, files_per_batch, f"{table}.parquet")
+
+
 def land_batch(
     lake: Lake, batch: DataFrame, batch_id: int, as_of: datetime | None = None, grain: str = "day"
 ) -> None:
@@ -83,36 +94,44 @@ def sync_orders(
     return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
 
 
-def with_event_time(stream: DataFrame, moment: str, delay: str) -> DataFrame:
-    """Watermark on ``moment``; a zone-less timestamp is read in the session zone, for a stream refuses it as it is."""
-    return stream.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
+def _spans(batch: DataFrame, moment: str, grain: str) -> DataFrame:
+    """Rows with their span; a zone-less timestamp is read in the session zone, a missing one has a span of its own."""
+    timed = batch.withColumn(moment, F.col(moment).cast("timestamp"))
+    return timed.withColumn("span", F.coalesce(F.date_trunc(grain, moment).cast("date"), F.lit("0001-01-01").cast("date")))
 
 
-def without_repeats(stream: DataFrame, key: str, moment: str, delay: str, salts: int = 16) -> DataFrame:
-    """Rows with keys not seen within the watermark delay; the batch deduplication stays the authority.
+def land_once(lake: Lake, batch: DataFrame, batch_id: int, log: str, key: str, moment: str, grain: str = "month") -> None:
+    """Add rows of a batch whose key has not landed yet, however old they are; a key keeps its ``moment`` for life.
 
-    Repeats are first dropped per key and reading task, then per key: a key repeated millions of times reaches its
-    final partition at most ``salts`` times in a batch. ``salts=1`` saves the first step where repeats are rare.
+    Repeats inside the batch are reduced first, then only the touched spans of the log are looked up. A batch that runs
+    again replaces its own rows.
     """
-    timed = with_event_time(stream, moment, delay)
-    if salts > 1:
-        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        timed = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark([key])
-
-
-def rate_per_window(stream: DataFrame, moment: str, length: str, delay: str) -> DataFrame:
-    """Rows per tumbling window, each emitted once the watermark passes its end."""
-    return (
-        with_event_time(stream, moment, delay)
-        .groupBy(F.window(moment, length).alias("span"))
-        .agg(F.count("*").alias("rows"))
-        .select(F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), "rows")
-    )
-
-
-def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Process all there is into parquet files under ``path`` and read them back."""
-    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start(path).awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+    tagged = _spans(batch, moment, grain)
+    others = [name for name in tagged.columns if name != key]
+    firsts = tagged.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*")
+    firsts = firsts.select(*tagged.columns).withColumn("batch_id", F.lit(batch_id))
+    landed = lake.read_log(log, firsts.schema)
+    if landed is not None:
+        touched = F.broadcast(tagged.select("span").distinct())  # one row per span at most
+        known = landed.filter(F.col("batch_id") != batch_id).join(touched, "span", "left_semi").select(key)
+        firsts = firsts.join(known, key, "left_anti").select(*firsts.columns)
+    lake.overwrite_days(firsts, log, "span", "batch_id")
+
+
+def land_rate(lake: Lake, batch: DataFrame, batch_id: int, log: str, moment: str, length: str, grain: str = "month") -> None:
+    """Log how many rows of a batch fall into each tumbling window; ``rate_per_window`` adds batches up."""
+    counted = _spans(batch, moment, grain).groupBy("span", F.window(moment, length).alias("_window")).agg(F.count("*").alias("rows"))
+    windows = counted.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "rows", "span")
+    lake.overwrite_days(windows.withColumn("batch_id", F.lit(batch_id)), log, "span", "batch_id")
+
+
+def rate_per_window(lake: Lake, log: str) -> DataFrame | None:
+    """Rows per window over all batches so far, late rows and the latest window included."""
+    logged = lake.read_log(log)
+    return None if logged is None else logged.groupBy("window_start", "window_end").agg(F.sum("rows").alias("rows"))
+
+
+def run_batches(stream: DataFrame, land, checkpoint: str) -> None:
+    """Call ``land(batch, batch_id)`` for everything there is."""
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()

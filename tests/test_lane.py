@@ -13,7 +13,7 @@ from shoplane.contracts import DOMAINS, ORDERS, TABLES
 from shoplane.functions.scalars import utc
 from shoplane.operators import defects, gates, reconcile, staging, synth
 from shoplane.plans import build as builds
-from shoplane.plans import ingest, marts, questions, serving
+from shoplane.plans import catalog, ingest, marts, questions, serving
 from shoplane.session import configure, scratch_path
 from shoplane.sources import tables as store
 from shoplane.sources.tables import Lake
@@ -243,3 +243,23 @@ def test_score_expands_the_cascade(spark):
         "schema_drift": (None, 0.0),
         "negative_price": (0.0, 0.0),
     }
+
+
+@pytest.fixture(scope="module")
+def part_files(spark, tmp_path_factory):
+    """The tables as folders of part files, moments shuffled over the files, some rows in two of them."""
+    folder = tmp_path_factory.mktemp("parts")
+    small = "/root/testdata/sf0.001"
+    for table in ("orders", "events"):
+        spark.read.parquet(f"{small}/{table}.parquet").orderBy(F.rand(3)).repartition(4).write.parquet(f"{folder}/{table}.parquet")
+    again = spark.read.parquet(f"{small}/orders.parquet").limit(200).coalesce(1)
+    again.write.mode("append").parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_streams_lose_nothing_over_many_batches(spark, part_files):
+    once = catalog.stream_dedup(spark, part_files, files_per_batch=1)
+    keys = spark.read.parquet(f"{part_files}/orders.parquet").select("o_orderkey").distinct().count()
+    assert (once.count(), once.select("o_orderkey").distinct().count()) == (keys, keys)
+    rate = catalog.stream_order_rate(spark, part_files, files_per_batch=1)
+    assert rate.agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{part_files}/events.parquet").count()
