@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplane.operators.lookup import BROADCAST_ROWS
-from shoplane.session import settle
-
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
@@ -39,15 +36,13 @@ def diff(old: DataFrame, new: DataFrame, key: str, by_fingerprint: bool = False)
     """What changed between two snapshots: ``key, change, before, after``, the latter two as structs.
 
     Both snapshots are joined on their unique key and compared by value, NULLs equal. ``by_fingerprint`` first joins
-    only keys and 128-bit row hashes, writes down the changed keys, and fetches whole rows for those alone: far less to
-    shuffle when rows are wide and changes few. The changed keys are broadcast if their count allows it.
+    only keys and 128-bit row hashes and fetches whole rows for the changed keys alone: far less to shuffle when rows are
+    wide and changes few. Spark broadcasts the changed keys if it measures them to be few.
     """
     columns = new.columns
     if by_fingerprint:
         mark = [F.col(key), _fingerprint(columns).alias("_row")]
-        changed = settle(_changes(old.select(*mark), new.select(*mark), key, "_row").select(key))
-        if changed.count() <= BROADCAST_ROWS:
-            changed = F.broadcast(changed)
+        changed = _changes(old.select(*mark), new.select(*mark), key, "_row").select(key)
         old, new = old.join(changed, key, "left_semi"), new.join(changed, key, "left_semi")
     whole = [F.col(key), F.struct(*columns).alias("_row")]
     return _changes(old.select(*whole), new.select(*whole), key, "_row")

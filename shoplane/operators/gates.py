@@ -142,10 +142,14 @@ def contract_gate(spark: SparkSession, schemas: Mapping[str, tuple[T.StructType,
 
 
 def freshness(tables: Mapping[str, DataFrame], as_of: Column, limit_seconds: int = 300) -> DataFrame:
-    """Newest event of every table, its lag behind ``as_of`` and whether that is within the limit."""
+    """Newest event of every table up to ``as_of``, its lag and whether that is within the limit.
+
+    Events dated after ``as_of`` say nothing about freshness and do not count.
+    """
     parts = []
     for table, df in tables.items():
-        newest = df.agg(F.max(EVENT_TIMES[table]).alias("newest_at"))
+        moment = F.col(EVENT_TIMES[table])
+        newest = df.agg(F.max(F.when(moment <= as_of, moment)).alias("newest_at"))
         parts.append(newest.select(F.lit(table).alias("table_name"), "newest_at"))
     lag = F.unix_seconds(as_of) - F.unix_seconds("newest_at")
     return (
@@ -156,15 +160,29 @@ def freshness(tables: Mapping[str, DataFrame], as_of: Column, limit_seconds: int
 
 
 def freshness_gate(df: DataFrame, moment: str, as_of: Column, limit_seconds: int = 300) -> DataFrame:
-    """Fails while nothing newer than the limit has landed; the sample is the newest moment."""
-    newest = df.agg(F.max(moment).alias("_newest"))
+    """Warnings while nothing newer than the limit has landed, and about rows dated after ``as_of``, which hide no staleness.
+
+    The samples are the newest moment that counts and the furthest one ahead.
+    """
+    at = F.col(moment)
+    ahead = F.when(at > as_of, at)
+    found = df.agg(F.max(F.when(at <= as_of, at)).alias("_newest"), F.count(ahead).alias("_ahead"), F.max(ahead).alias("_furthest"))
     stale = ~F.coalesce(F.unix_seconds(as_of) - F.unix_seconds("_newest") <= limit_seconds, F.lit(False))
-    return newest.select(*_row("landing: fresh", ERROR, stale.cast("int"), F.col("_newest")))
+    reports = [
+        F.struct(*_row("landing: fresh", WARN, stale.cast("int"), F.col("_newest"))),
+        F.struct(*_row("landing: not ahead of time", WARN, F.col("_ahead"), F.col("_furthest"))),
+    ]
+    return found.select(F.inline(F.array(*reports)))
 
 
-def volume_gate(flags: DataFrame, since: Column | None = None) -> DataFrame:
-    """Days flagged as spike or drop, as a warning; ``since`` limits the report to recent days."""
+def volume_gate(flags: DataFrame, since: Column | None = None, today: Column | None = None) -> DataFrame:
+    """Days flagged as spike or drop, as a warning; ``since`` limits the report to recent days.
+
+    From ``today`` on a day is not over: it may already be a spike, but a low count says nothing yet.
+    """
     flagged = F.col("flag") != "normal"
+    if today is not None:
+        flagged = flagged & ((F.col("flag") == "spike") | (F.col("day") < today))
     if since is not None:
         flagged = flagged & (F.col("day") >= since)
     counted = flags.agg(F.count_if(flagged).alias("_days"), F.min(F.when(flagged, F.col("day"))).alias("_first"))

@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
+HEAVY_ROWS = 1_000_000
 SALTS = 64
-BROADCAST_ROWS = 200_000  # rows of a few narrow columns: tens of megabytes
 
 
-def hottest_keys(fact: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent non-NULL keys, as column ``hot_key``.
+def heavy_keys(fact: DataFrame, key: str, rows: int = HEAVY_ROWS) -> DataFrame:
+    """Non-NULL keys with more than ``rows`` rows, as column ``heavy_key``.
 
-    Counts are combined before the shuffle. Every key left out holds fewer than one row in ``limit``, and the result
-    has at most ``limit`` rows whatever the size of ``fact``, which is what makes it safe to broadcast.
+    Counts are combined before the shuffle. The size is absolute, so a key left out never weighs more however large
+    ``fact`` is, and there are at most as many keys as ``fact`` has rows over ``rows``. Keep the result as a table.
     """
     return (
         fact.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("hot_key"))
-        .agg(F.count("*").alias("hot_rows"))
-        .orderBy(F.desc("hot_rows"), "hot_key")
-        .limit(limit)
-        .select("hot_key")
+        .groupBy(F.col(key).alias("heavy_key"))
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > rows)
+        .select("heavy_key")
     )
 
 
@@ -32,34 +30,32 @@ def balanced_lookup(
     fact_key: str,
     dim_key: str,
     spread: str,
-    keys_from: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    heavy: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` on a key that is unique in ``dim``; ``dim_key`` stays in the result.
 
-    ``dim`` is counted first: up to ``broadcast_rows`` rows it is broadcast and ``fact`` is not shuffled at all. Beyond
-    that both sides are shuffled, the hottest keys of ``fact`` spread over ``salts`` partitions by ``spread`` (a row id)
-    and their few ``dim`` rows copied once per salt. NULL keys never match, so they are spread too. Either way the
-    result is that of the plain left join. ``keys_from`` is a cheaper table with the same keys as ``fact``.
+    Spark decides from the sizes it knows or measures whether ``dim`` is broadcast, and splits skewed partitions. With
+    ``heavy``, a stored result of ``heavy_keys``, the rows of those keys are spread over ``salts`` partitions by
+    ``spread`` (a row id) and their few ``dim`` rows copied once per salt. NULL keys never match, so they are spread
+    too. The result is that of the plain left join either way, and nothing runs before it is used.
     """
     if fact_key == dim_key:
         raise ValueError("rename one key: both sides keep theirs")
-    if dim.count() <= broadcast_rows:
-        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key), "left")
-    hot = F.broadcast(hottest_keys(fact if keys_from is None else keys_from, fact_key))
+    if heavy is None:
+        return fact.join(dim, F.col(fact_key) == F.col(dim_key), "left")
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    spread_out = F.col("hot_key").isNotNull() | F.col(fact_key).isNull()
+    spread_out = F.col("heavy_key").isNotNull() | F.col(fact_key).isNull()
     salted_fact = (
-        fact.join(hot, F.col(fact_key) == F.col("hot_key"), "left")
+        fact.join(heavy, F.col(fact_key) == F.col("heavy_key"), "left")
         .withColumn("_salt", F.when(spread_out, salt).otherwise(F.lit(0)))
-        .drop("hot_key")
+        .drop("heavy_key")
     )
     every_salt, no_salt = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
     salted_dim = (
-        dim.join(hot, F.col(dim_key) == F.col("hot_key"), "left")
-        .withColumn("_dim_salt", F.explode(F.when(F.col("hot_key").isNotNull(), every_salt).otherwise(no_salt)))
-        .drop("hot_key")
+        dim.join(heavy, F.col(dim_key) == F.col("heavy_key"), "left")
+        .withColumn("_dim_salt", F.explode(F.when(F.col("heavy_key").isNotNull(), every_salt).otherwise(no_salt)))
+        .drop("heavy_key")
     )
     matches = (F.col(fact_key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt"))
     return salted_fact.join(salted_dim, matches, "left").drop("_salt", "_dim_salt")

@@ -103,9 +103,12 @@ def late_rows(landed: DataFrame, landed_at: str = "landed_at") -> DataFrame:
     return landed.withColumn("days_late", days).filter(F.col("days_late") > 0)
 
 
-def rows_before(rows: DataFrame, closed_day: Column) -> DataFrame:
-    """Newly landed rows that belong to days already closed."""
-    return rows.filter(day_of("ordered_at") < closed_day)
+def added_totals(totals: DataFrame | None, more: DataFrame | None) -> DataFrame | None:
+    """``day, rows, amount`` of both tables added up per day; either may be missing."""
+    if totals is None or more is None:
+        return more if totals is None else totals
+    both = totals.select("day", "rows", "amount").unionByName(more.select("day", "rows", "amount"))
+    return both.groupBy("day").agg(F.sum("rows").alias("rows"), total(F.col("amount")).alias("amount"))
 
 
 def agreement_gate(reconciled: DataFrame) -> DataFrame:

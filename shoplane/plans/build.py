@@ -13,9 +13,10 @@ from shoplane.contracts import DOMAINS, NATURAL_KEY, ORDERS, PRIMARY_KEYS, PRODU
 from shoplane.functions.scalars import day_of, utc
 from shoplane.operators import gates, reconcile
 from shoplane.operators.capture import diff
+from shoplane.operators.lookup import heavy_keys
 from shoplane.operators.staging import deduplicate, quarantine, removed_by_dedup, row_rules, stage
 from shoplane.plans import marts, questions
-from shoplane.sources.tables import Lake
+from shoplane.sources.tables import ADJUSTMENTS, Lake
 
 Domains = Mapping[str, Mapping[str, Sequence[str]]]
 
@@ -29,13 +30,17 @@ class BuildResult:
 
 
 def all_gates(staged: Mapping[str, DataFrame], domains: Domains) -> DataFrame:
-    """Every gate on values, keys and references of the staged tables."""
+    """Every gate on values, keys and references of the landed tables.
+
+    Copies of an order by its natural key only warn here, as a burst looks the same: deduplication takes them out, and
+    ``staged_gate`` makes sure that none is left.
+    """
     reports = [gates.row_gates(staged[table], table, row_rules(table, domains.get(table, {}))) for table in TABLES]
     reports += [gates.unique_gate(staged[table], table, (PRIMARY_KEYS[table],)) for table in TABLES]
     reports += [
         gates.unique_gate(staged["customers"], "customers", ("email",)),
         gates.unique_gate(staged["products"], "products", ("sku",)),
-        gates.unique_gate(staged["orders"], "orders", NATURAL_KEY),
+        gates.unique_gate(staged["orders"], "orders", NATURAL_KEY, gates.WARN),
         gates.reference_gate(staged["orders"], staged["customers"], "orders", "customer_id"),
         gates.reference_gate(staged["orders"], staged["products"], "orders", "product_id"),
         gates.reference_gate(staged["payments"], staged["orders"], "payments", "order_id"),
@@ -44,11 +49,17 @@ def all_gates(staged: Mapping[str, DataFrame], domains: Domains) -> DataFrame:
     return gates.union_all(reports)
 
 
+def staged_gate(orders: DataFrame) -> DataFrame:
+    """No natural key twice among orders after deduplication."""
+    return gates.unique_gate(orders, "orders", NATURAL_KEY).withColumn("check", F.concat(F.lit("staged "), "check"))
+
+
 def timely_gates(orders: DataFrame, as_of: datetime) -> list[DataFrame]:
-    """Volume of the last two days, from orders as landed, and freshness."""
+    """Volume of the last two days, from orders as landed up to ``as_of``, and freshness."""
     now = utc(as_of)
+    today = day_of(now)
     return [
-        gates.volume_gate(questions.volume_flags(orders), F.date_sub(day_of(now), 1)),
+        gates.volume_gate(questions.volume_flags(orders.filter(F.col("ordered_at") <= now)), F.date_sub(today, 1), today),
         gates.freshness_gate(orders, "ordered_at", now),
     ]
 
@@ -84,7 +95,11 @@ def build(
         outputs[f"quarantine_{table}"] = lake.write(aside[table], f"quarantine_{table}")
     clean = {table: lake.open(outputs[f"stg_{table}"]) for table in TABLES}
 
-    facts = marts.fct_orders(clean["orders"], clean["customers"], clean["products"], clean["payments"])
+    heavy = {}
+    for key in ("customer_id", "product_id"):
+        outputs[f"heavy_{key}"] = lake.write(heavy_keys(clean["orders"], key), f"heavy_{key}")
+        heavy[key] = lake.open(outputs[f"heavy_{key}"])
+    facts = marts.fct_orders(clean["orders"], clean["customers"], clean["products"], clean["payments"], heavy)
     outputs["dim_customers"] = lake.write(marts.dim_customers(clean["customers"]), "dim_customers")
     outputs["dim_products"] = lake.write(marts.dim_products(clean["products"]), "dim_products")
     facts = facts.withColumn("span", F.date_trunc(grain, "order_day").cast("date"))
@@ -95,21 +110,29 @@ def build(
     set_aside = lake.open(outputs["quarantine_orders"])
     removed = removed_by_dedup(good["orders"])
     matched = reconcile.reconcile(rows["orders"], fact_rows, removed, set_aside, today)
+    orders_before, stored = lake.read("landed_orders"), lake.closed_totals()
     reports = [
         all_gates(rows, domains),
+        staged_gate(clean["orders"]),
         *timely_gates(rows["orders"], as_of),
         reconcile.agreement_gate(matched),
-        *against_last_build(rows, lake.read("landed_orders"), lake.read("landed_products"), _stored(lake), today),
+        *against_last_build(rows, orders_before, lake.read("landed_products"), stored, today),
     ]
     report = _judge(lake, gates.union_all(reports), as_of, strict)
+    if orders_before is not None and stored is not None:
+        late = reconcile.added_totals(lake.read(ADJUSTMENTS), late_totals(rows["orders"], orders_before, stored))
+        outputs[ADJUSTMENTS] = lake.write(late.coalesce(1), ADJUSTMENTS)  # one row per closed day with late rows
     lake.publish(outputs)
     totals = reconcile.totals_per_day(rows["orders"]).filter(F.col("day") < today)
     lake.store_control_totals(totals)
     return BuildResult({name: lake.open(written) for name, written in outputs.items()}, report)
 
 
-def _stored(lake: Lake) -> DataFrame | None:
-    return lake.read_log("control_totals")
+def late_totals(orders: DataFrame, orders_before: DataFrame, stored: DataFrame) -> DataFrame:
+    """Totals per closed day of the orders that the last build did not have."""
+    arrived = orders.join(orders_before.select("order_id"), "order_id", "left_anti")
+    last_closed = stored.agg(F.max("day").alias("_last"))  # one row
+    return reconcile.totals_per_day(arrived).join(F.broadcast(last_closed), F.col("day") <= F.col("_last")).drop("_last")
 
 
 def against_last_build(
@@ -119,12 +142,14 @@ def against_last_build(
     stored: DataFrame | None,
     today: Column,
 ) -> list[DataFrame]:
-    """Gates that need an earlier build: closed days unchanged, late rows, revenue drivers."""
+    """Gates that need an earlier build: closed days unchanged, late rows, revenue drivers.
+
+    ``stored`` are the totals of closed days with the late rows of earlier builds added, see ``Lake.closed_totals``.
+    """
     if orders_before is None or products_before is None or stored is None:
         return []
     last_closed = stored.select(F.max("day")).scalar()
-    arrived = rows["orders"].join(orders_before.select("order_id"), "order_id", "left_anti")
-    late = reconcile.totals_per_day(arrived).filter(F.col("day") <= last_closed)
+    late = late_totals(rows["orders"], orders_before, stored)
     current = reconcile.totals_per_day(rows["orders"]).filter(F.col("day") <= last_closed)
     history = reconcile.reconcile_history(stored, current, late, today)
     orders, products = ORDERS.fieldNames(), PRODUCTS.fieldNames()

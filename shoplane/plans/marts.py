@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -59,23 +60,29 @@ def payment_coverage(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def described_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, keys_from: DataFrame | None = None
+    orders: DataFrame, customers: DataFrame, products: DataFrame, heavy: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Orders with their day, segment and country of the customer, category and cost of the product.
 
-    ``keys_from`` holds the same customer and product keys and is cheaper to scan.
+    ``heavy`` has stored tables of keys that very many orders share, by column.
     """
-    keys_from = orders if keys_from is None else keys_from
+    heavy = heavy or {}
     people = customers.select(F.col("customer_id").alias("_customer"), "segment", "country")
     goods = products.select(F.col("product_id").alias("_product"), "category", "cost")
-    described = balanced_lookup(orders, people, "customer_id", "_customer", "order_id", keys_from)
-    described = balanced_lookup(described, goods, "product_id", "_product", "order_id", keys_from)
+    described = balanced_lookup(orders, people, "customer_id", "_customer", "order_id", heavy.get("customer_id"))
+    described = balanced_lookup(described, goods, "product_id", "_product", "order_id", heavy.get("product_id"))
     return described.drop("_customer", "_product").withColumn("order_day", day_of("ordered_at"))
 
 
-def fct_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame) -> DataFrame:
+def fct_orders(
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    payments: DataFrame,
+    heavy: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """One row per order with customer and product attributes, margin and payment coverage."""
-    described = described_orders(payment_coverage(orders, payments), customers, products, orders)
+    described = described_orders(payment_coverage(orders, payments), customers, products, heavy)
     cost = (F.col("cost") * F.col("quantity")).cast("decimal(14,2)")
     return described.select(
         "order_id",

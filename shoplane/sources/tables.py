@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 
 from shoplane.contracts import INCIDENTS, PRIMARY_KEYS, TABLES
 from shoplane.operators.numbering import append_with_keys
+from shoplane.operators.reconcile import added_totals
 
+ADJUSTMENTS = "control_adjustments"
 READERS = 8  # connections the source has to bear at most
 
 VERSION_SCHEMA = "table_name string, version bigint, path string, schema string"
@@ -169,12 +171,16 @@ class Lake:
         _, keyed = append_with_keys(self.ledger().select(*INCIDENTS.fieldNames()), rows, "incident_id")
         self.append(keyed, "_control/injected_incidents", "failure_key")
 
+    def closed_totals(self) -> DataFrame | None:
+        """Stored totals of closed days plus the late rows that published builds found since, which a table of its own holds."""
+        return added_totals(self.read_log("control_totals"), self.read(ADJUSTMENTS))
+
     def store_control_totals(self, totals: DataFrame) -> None:
-        """Append totals of days not stored yet; a stored day is never changed."""
+        """Append totals of days closed since the last time; a stored day is never changed, late rows are adjustments."""
         stored = self.read_log("control_totals")
         fresh = totals
         if stored is not None:
-            known = stored.select(F.col("day").alias("_day"))
-            fresh = totals.join(known, F.col("day").eqNullSafe(F.col("_day")), "left_anti")
+            last = stored.agg(F.max("day").alias("_last"))
+            fresh = totals.join(F.broadcast(last), F.col("_last").isNull() | (F.col("day") > F.col("_last"))).drop("_last")
         self.append(fresh.coalesce(1), "control_totals")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplane.contracts import ORDERS
-from shoplane.functions.scalars import utc
+from shoplane.functions.scalars import day_of, utc
 from shoplane.operators.capture import latest_version
 from shoplane.operators.gates import freshness
 from shoplane.operators.staging import deduplicate
@@ -71,7 +71,7 @@ def land_batch(
         lines = lines.unionByName(current.join(spans, line_span == F.col("span"), "left_anti"))
     daily = lake.replace(lines.coalesce(1), DAILY)
     if as_of is not None:
-        newest_span = daily.agg(F.date_trunc(grain, F.max("day")).cast("date")).first()[0]
+        newest_span = daily.filter(F.col("day") <= day_of(utc(as_of))).agg(F.date_trunc(grain, F.max("day")).cast("date")).first()[0]
         newest = staged.filter(F.col("span") == F.lit(newest_span))  # one partition, not the whole table
         note = freshness({"orders": newest}, utc(as_of)).withColumn("batch_id", F.lit(batch_id))
         lake.overwrite_days(note.coalesce(1), FRESHNESS, "batch_id")

@@ -132,6 +132,60 @@ def test_build_publishes_only_green_tables(spark, shop):
     assert totals.select("day").distinct().count() == totals.count()
 
 
+def failed(result):
+    return {row.check: row.failed_rows for row in result.report if row.failed_rows}
+
+
+def test_late_rows_stay_explained_in_later_builds(spark, shop):
+    configure(spark)
+    lake = Lake(spark, scratch_path(spark, "late"))
+    builds.build(lake, shop, AS_OF, grain="year")
+    late = defects.inject(shop, "late_arrival", defects.Context(AS_OF)).tables
+    assert failed(builds.build(lake, late, AS_OF, grain="year")) == {"orders: late rows in closed days": 1}
+    for _ in range(2):
+        assert failed(builds.build(lake, late, AS_OF, grain="year")) == {}
+    again = defects.inject(late, "late_arrival", defects.Context(AS_OF, seed=8)).tables
+    assert failed(builds.build(lake, again, AS_OF, grain="year")) == {"orders: late rows in closed days": 1}
+    assert [row["rows"] for row in lake.read(store.ADJUSTMENTS).collect()] == [2]
+    assert lake.closed_totals().agg(F.sum("rows")).first()[0] == lake.read_log("control_totals").agg(F.sum("rows")).first()[0] + 2
+    day = F.col("ordered_at").cast("date") == F.lit("2025-12-01")
+    zeroed = again["orders"].withColumn("total_amount", F.when(day, F.col("total_amount") * 0).otherwise(F.col("total_amount")).cast("decimal(12,2)"))
+    with pytest.raises(gates.GateFailure, match="closed days unchanged"):
+        builds.build(lake, {**again, "orders": zeroed}, AS_OF, grain="year")
+
+
+@pytest.mark.parametrize(("key", "removed"), [("volume_spike", 450), ("duplicate_order", 1)])
+def test_strict_build_takes_copies_out_and_publishes(spark, shop, key, removed):
+    configure(spark)
+    lake = Lake(spark, scratch_path(spark, "copies"))
+    spoiled = defects.inject(shop, key, defects.Context(AS_OF)).tables
+    found = failed(builds.build(lake, spoiled, AS_OF, grain="year"))
+    assert found.pop("orders: customer_id, product_id, ordered_at unique") == removed
+    assert set(found) == ({"orders: daily volume"} if key == "volume_spike" else set())
+    assert lake.read("stg_orders").count() == spoiled["orders"].count() - removed
+
+
+def test_rows_ahead_of_time_hide_no_staleness(spark):
+    rows = [(AS_OF - timedelta(days=5),), (datetime(2030, 1, 1, tzinfo=UTC),)]
+    report = gates.freshness_gate(spark.createDataFrame(rows, "ordered_at timestamp"), "ordered_at", utc(AS_OF))
+    assert {row.check: (row.severity, row.failed_rows) for row in report.collect()} == {
+        "landing: fresh": ("warn", 1),
+        "landing: not ahead of time": ("warn", 1),
+    }
+    newest = gates.freshness({"orders": spark.createDataFrame(rows, "ordered_at timestamp")}, utc(AS_OF)).first()
+    assert newest.lag_seconds == 5 * 86400 and not newest.fresh
+
+
+@pytest.mark.parametrize("hour", [0, 2, 13, 23])
+def test_even_load_raises_no_volume_warning(spark, hour):
+    as_of = datetime(2026, 1, 15, hour, tzinfo=UTC)
+    minutes = F.lit(int(as_of.timestamp())) - F.col("id") * 600
+    orders = spark.range(40 * 144).select(F.timestamp_seconds(minutes).alias("ordered_at"), F.lit(Decimal("1.00")).alias("total_amount"), F.lit("placed").alias("status"))
+    orders = orders.filter(F.col("ordered_at") >= F.lit("2025-12-10").cast("timestamp"))
+    reports = {row.check: row.failed_rows for row in gates.union_all(builds.timely_gates(orders, as_of)).collect()}
+    assert reports["orders: daily volume"] == 0
+
+
 def test_accounting_holds_under_any_defects(spark, shop):
     tables = shop
     for key in ("negative_price", "missing_customer", "duplicate_order", "invalid_quantity", "volume_spike"):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shoplane.contracts import ORDERS
 from shoplane.functions import scalars
 from shoplane.operators import capture, quantiles, selection, staging
-from shoplane.operators.lookup import balanced_lookup, hottest_keys, totals_without_match, without_match
+from shoplane.operators.lookup import balanced_lookup, heavy_keys, totals_without_match, without_match
 from shoplane.operators.numbering import append_with_keys, number_rows
 
 
@@ -33,18 +33,19 @@ def skewed(spark):
     return fact, dim
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_balanced_lookup_is_a_left_join(skewed, broadcast_rows):
+@pytest.mark.parametrize("salted", [False, True])
+def test_balanced_lookup_is_a_left_join(skewed, salted):
     fact, dim = skewed
     plain = fact.join(dim, F.col("k") == F.col("dk"), "left")
-    balanced = balanced_lookup(fact, dim, "k", "dk", "id", broadcast_rows=broadcast_rows, salts=5)
+    balanced = balanced_lookup(fact, dim, "k", "dk", "id", heavy_keys(fact, "k", 50) if salted else None, salts=5)
     assert balanced.columns == plain.columns
     assert rows_of(balanced) == rows_of(plain)
 
 
-def test_hottest_keys_are_bounded(skewed):
+def test_heavy_keys_go_by_their_size(skewed):
     fact, _ = skewed
-    assert [row.hot_key for row in hottest_keys(fact, "k", 1).collect()] == [7]
+    assert [row.heavy_key for row in heavy_keys(fact, "k", 50).collect()] == [7]
+    assert heavy_keys(fact, "k", 1000).count() == 0
 
 
 def test_salted_rows_are_spread(spark, skewed):
@@ -52,7 +53,7 @@ def test_salted_rows_are_spread(spark, skewed):
     fact, dim = skewed
     copies = fact.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(39))))
     wide = copies.select((F.col("id") * 40 + F.col("copy")).alias("id"), "k", "v")
-    joined = balanced_lookup(wide, dim, "k", "dk", "id", broadcast_rows=0, salts=64)
+    joined = balanced_lookup(wide, dim, "k", "dk", "id", heavy_keys(wide, "k", 1000), salts=64)
     plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     plain["spark.sql.shuffle.partitions"] = "16"
     usual = {key: spark.conf.get(key) for key in plain}
