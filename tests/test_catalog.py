@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin, and the fixed expectations at sf0.01."""
+"""Every query of the lane against its SQL twin, and the fixed expectations at sf0.01; corpus queries have tests of their own."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import __spark_entry__ as entry_point
 from oracle import compare, connect
 from shoplane.operators import staging
 from shoplane.operators.daily import daily_totals, volume_anomalies
-from shoplane.plans import questions
+from shoplane.plans import catalog, catalog_sql, questions
 from shoplane.sources import star
 
 from conftest import TESTDATA
@@ -37,7 +37,7 @@ def differences(request, spark):
         return dict(zip(asked, pool.map(lambda name: _compared(spark, name, connection), asked), strict=True))
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_its_sql(differences, name):
     assert differences[name] is None
 
@@ -49,7 +49,7 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(catalog.queries()) == set(catalog_sql.oracle_sql())
 
 
 def test_known_totals(spark):
