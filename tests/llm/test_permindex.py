@@ -56,3 +56,21 @@ def test_odd_rows(spark):
     assert permindex.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     few = permindex.nearest(spark.createDataFrame(good[:3], "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
     assert [(r["rank"], r["vec_id"]) for r in few.orderBy("rank").collect()] == [(1, 1), (2, 2)]
+
+
+def test_recall_beside_many_copies(spark):
+    """A third of all rows are copies of one vector: recall holds for its neighbours, for copies and for the rest."""
+    given = spark.read.parquet(str(TESTDATA / "sf0.1" / "embeddings.parquet")).orderBy("vec_id").limit(2000)
+    rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in given.collect()]
+    centre = np.array(rows[7][1])
+    near = {rows[i][0] for i in np.argsort([((np.array(v) - centre) ** 2).sum() for _, v in rows], kind="stable")[1:101]}
+    top = max(i for i, _ in rows)
+    frame = spark.createDataFrame(rows + [(top + 1 + n, rows[7][1]) for n in range(1000)], "vec_id long, embedding array<double>").cache()
+    others = {i for i, _ in rows if i % 20 == 0} - near
+    copies = {top + 1, top + 500}
+    for group, least in ((near, 0.9), (others, 0.9), (copies, 1.0)):
+        asks = F.col("vec_id").isin(sorted(group))
+        found = permindex.nearest(frame, asks).cache()
+        exact = permindex.nearest(frame, asks, share=1.0)
+        assert found.count() == 10 * len(group)
+        assert permindex.recall(found, exact) >= least
