@@ -210,3 +210,45 @@ def test_language_model_odd_rows(odd, empty):
         rows = pitmanyor.score(given, pitmanyor.fit(train)).collect()
         assert len(rows) == given.count()
         assert all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in rows)
+
+
+def test_stirling_numbers_beyond_the_table():
+    for d, most in ((0.05, 0.01), (0.4, 0.01), (0.75, 0.01), (0.95, 0.3)):
+        row = np.full(901, -np.inf)
+        row[0] = 0.0
+        for c in range(1, 901):
+            stay = row + np.log(np.maximum(c - 1 - d * np.arange(901), 1e-300))
+            row = np.logaddexp(np.concatenate([[-np.inf], row[:-1]]), stay)
+            row[0] = -np.inf
+            if c in (129, 400, 900):
+                t = np.arange(1, c + 1)
+                assert abs(pitmanyor.log_stirling(np.full(c, c), t, d) - row[1 : c + 1]).max() < most
+
+
+def test_tables_follow_their_conditional():
+    """Without a parent's part the draws are those of a Chinese restaurant: the mean number of tables is known, also beyond the table."""
+    rng, theta, d = np.random.default_rng(5), 20.0, 0.6
+    for c in (2, 7, 100, 1000, 30_000):
+        mean = theta / d * (math.exp(sum(math.lgamma(theta + x + c) - math.lgamma(theta + x) for x in (d,)) - math.lgamma(theta + c) + math.lgamma(theta)) - 1)
+        n = 4000
+        one = np.ones(n)
+        got = pitmanyor.draw_tables(np.full(n, c), theta * one, d, rng.random(n), (one, one))
+        assert abs(got.mean() - mean) < 5 * got.std() / math.sqrt(n) + 0.005 * mean
+
+
+def test_totals_settle_over_sweeps(spark):
+    """One sweep moves every customer: a dish of 100,000 leaves a start far off at once, and the totals then hold still."""
+    rows = [(b"common", 400_000, [0, 1], [100_000, 200_000])] + [(b"w%d" % i, 40, [0, 1], [10, 20]) for i in range(2000)]
+    state = spark.createDataFrame(rows, "word binary, c long, us array<int>, cs array<bigint>").coalesce(1)
+    totals = pitmanyor.Totals(np.array([120_000.0, 240_000.0, 124_002.0]), np.array([2001.0, 2001.0, 2001.0]), 2001, (0.5, 0.5), (1.0, 1.0))
+    tables = []
+    for number in range(16):
+        state = pitmanyor.sweep(state, totals, 3, number)
+        state = pitmanyor.stored(state.drop(*(f"{name}{number - 1}" for name in ("t", "c0_", "t0_") if 1 < number)), "test-seating")
+        totals = pitmanyor.summed(state, number, totals)
+        tables.append(totals.tables.copy())
+    tables = np.array(tables)
+    moved = abs(tables[1:] / tables[:-1] - 1).max(axis=1)
+    assert moved[-4:].max() < 0.04 < moved[0]
+    common = state.filter("c = 400000").first()
+    assert abs(np.array(common["t0"]) - common["t15"]).min() > 12  # three moves of four customers each, at most, were made before
