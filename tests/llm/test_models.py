@@ -252,3 +252,35 @@ def test_totals_settle_over_sweeps(spark):
     assert moved[-4:].max() < 0.04 < moved[0]
     common = state.filter("c = 400000").first()
     assert abs(np.array(common["t0"]) - common["t15"]).min() > 12  # three moves of four customers each, at most, were made before
+
+
+def test_every_word_is_a_context(spark, monkeypatch):
+    """Probabilities after a rare word and after a common one add up, and scores are those of the tables token by token."""
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id < 60")
+    train = documents.filter("doc_id % 7 <> 2")
+    model = pitmanyor.fit(train)
+    counts = Counter()
+    for row in train.collect():
+        words = pitmanyor.tokens((row["text"] or "").encode())
+        counts.update(zip([pitmanyor.START, *words], words))
+    pairs = {(bytes(r["u"]), bytes(r["w"])): r for r in model.pairs.collect()}
+    assert {pair: r["c"] for pair, r in pairs.items()} == counts
+    words, contexts = ({bytes(r[0]): r for r in frame.collect()} for frame in (model.words, model.contexts))
+    assert contexts.keys() == {u for u, _ in counts} - {pitmanyor.START}
+    unknown = np.array(model.unknown())
+    assert np.allclose(np.sum([r["ps"] for r in words.values()], axis=0) + unknown, 1)
+    for u in sorted(contexts, key=lambda u: contexts[u]["cu"])[:: max(1, len(contexts) // 9)]:
+        back = np.array(contexts[u]["back"])
+        rest = sum(float(np.mean(back * r["ps"])) for w, r in words.items() if (u, w) not in pairs) + float(np.mean(back * unknown))
+        assert math.isclose(sum(r["pu"] for pair, r in pairs.items() if pair[0] == u) + rest, 1, abs_tol=1e-9)
+    for frequent in (1 << 18, 40):
+        monkeypatch.setattr(pitmanyor, "FREQUENT", frequent)
+        got = {r["doc_id"]: r["score"] for r in pitmanyor.score(documents, model).collect()}
+        for row in documents.collect():
+            total, before = 0.0, pitmanyor.START
+            for word in pitmanyor.tokens((row["text"] or "").encode()):
+                ps = np.array(words[word]["ps"]) if word in words else unknown
+                back = np.array(contexts[before]["back"]) if before in contexts else np.ones(len(unknown))
+                total += math.log10(pairs[before, word]["pu"] if (before, word) in pairs else np.mean(ps * back))
+                before = word
+            assert math.isclose(got[row["doc_id"]], total, rel_tol=1e-9)
