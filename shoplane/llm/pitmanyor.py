@@ -56,22 +56,20 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def common_words(texts: DataFrame, n: int) -> list[bytes]:
-    """The commonest words. A word with a share of 1/2000 has it in some run of texts, so only those are counted there."""
+    """The commonest words by their counts over all tokens; of equally common ones the first in order."""
 
     def count(batches):
-        def large():
-            least = counter.total() / 2000
-            found = [(word, c) for word, c in counter.items() if c >= least]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int64())], names=["word", "n"])
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(counter.keys(), pa.binary()), pa.array(counter.values(), pa.int64())], names=["word", "n"])
 
         counter: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 counter.update(tokens(text)[:-1])
                 if len(counter) > FLUSH:
-                    yield large()
+                    yield rows()
                     counter = Counter()
-        yield large()
+        yield rows()
 
     counts = texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [bytes(row["word"]) for row in counts.orderBy(F.desc("n"), "word").limit(n).select("word").collect()]

@@ -284,3 +284,12 @@ def test_every_word_is_a_context(spark, monkeypatch):
                 total += math.log10(pairs[before, word]["pu"] if (before, word) in pairs else np.mean(ps * back))
                 before = word
             assert math.isclose(got[row["doc_id"]], total, rel_tol=1e-9)
+
+
+def test_common_words_count_every_run(spark):
+    """A word below any share of a flat vocabulary's long run still counts there."""
+    flat = " ".join(f"w{i:05d}" for i in range(5000))
+    texts = spark.createDataFrame([(f"{flat} both",), ("both some some",)], "text string").repartition(1)
+    assert pitmanyor.common_words(pitmanyor._texts(texts), 3) == [b"both", b"some", b"w00000"]
+    texts = pitmanyor._texts(spark.createDataFrame([(flat,)] * 2 + [("other",)], "text string").coalesce(1))
+    assert pitmanyor.common_words(texts, 2) == [b"w00000", b"w00001"]
