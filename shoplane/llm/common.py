@@ -28,6 +28,11 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def with_row_draw(df: DataFrame, name: str, salt: int) -> DataFrame:
+    """A draw in [0, 1) for each row of (doc_id, text), of its own also where ids are null or rows repeat. Repeatable on the same files."""
+    return df.withColumn(name, unit_hash(F.struct("doc_id", F.xxhash64("text"), F.monotonically_increasing_id()), salt))
+
+
 def unit_hash(column: str | Column, salt: int) -> Column:
     """A repeatable draw in [0, 1) for a value."""
     return F.pmod(F.xxhash64(F.lit(salt), column), F.lit(1 << 30)) / float(1 << 30)

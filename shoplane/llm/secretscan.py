@@ -6,8 +6,8 @@ random strings and one of ordinary identifiers each give its log-likelihood, and
 letters and digits and the log-likelihood ratio is above ``MIN_RATIO`` per character.
 
 The models are learnt from labelled samples: values the patterns found stand for random strings, words of the same texts
-outside any pattern for identifiers. Both are counted by Spark over about ``max_texts`` texts (a documented bound, by a hash
-of the id); ``PRIOR`` random strings of each alphabet, drawn from a fixed seed, join the first, so the model is defined without matches.
+outside any pattern for identifiers. Both are counted by Spark over about ``max_texts`` texts (a documented bound, by a draw
+of each row's own); ``PRIOR`` random strings of each alphabet, drawn from a fixed seed, join the first, so the model is defined without matches.
 
 Null texts are empty and have no spans. Repeated rows give repeated rows. An empty table gives no rows. Offsets are code
 points, ends exclusive. Other columns are ignored by ``scan`` and kept by ``redact``.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplane.llm.common import unit_hash
+from shoplane.llm.common import with_row_draw
 
 # Fixed values of the contract.
 KINDS = ("assign", "access", "hex", "markov")
@@ -97,7 +97,7 @@ def fit(documents: DataFrame, max_texts: int = 20_000) -> np.ndarray:
             model, cell = np.nonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(model), pa.array(cell), pa.array(found[model, cell])], names=["model", "cell", "n"])
 
-    chosen = documents.filter(F.coalesce(unit_hash("doc_id", SALT), F.lit(0.0)) < max_texts / max(1, n))
+    chosen = with_row_draw(documents, "_draw", SALT).filter(F.col("_draw") < max_texts / max(1, n))
     counts = chosen.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(count, "model long, cell long, n long")
     table = np.zeros((2, cells))
     for row in counts.groupBy("model", "cell").agg(F.sum("n").alias("n")).collect():  # at most 2 x 68 x 68 rows

@@ -7,8 +7,8 @@ texts away. The prior is the share of toxic rows among the labelled training row
 
 Inputs are which of ``n_words`` word features a text has: words, word beginnings of four and six letters ("^" before them), and
 beginnings of six letters that two or more of its words share ("^^"), which catch inflected and compound forms. They are chosen by how far their share among positives exceeds that among
-unlabelled texts, counted by Spark over the sample. The sample is bounded by ``max_positive`` and ``max_unlabelled`` texts (in
-expectation: by a hash of the id), so what reaches the driver is at most their sum times ``n_words`` bits. ``n_models``
+unlabelled texts, counted by Spark over the sample. The sample has ``max_positive`` and ``max_unlabelled`` texts in
+expectation, by a draw of each row's own, whatever ids it shares; at most ``BOUND`` times their sum, ``n_words`` bits each, reach the driver. ``n_models``
 classifiers, each on its own part of the unlabelled texts, are averaged. Scoring reads every whole text.
 
 Null and empty texts get the score of a text without any chosen word. A label that is null counts as absent; of several
@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplane.llm.common import stored, unit_hash
+from shoplane.llm.common import stored, unit_hash, with_row_draw
 
 _WORD = re.compile(r"[^\W\d_]+")
 SALT = 4101
 #: A word feature has to be in this share of the positives at least.
 MIN_SHARE = 0.02
+BOUND = 2
 
 
 def words_of(text: str | None) -> set[str]:
@@ -42,16 +43,19 @@ def words_of(text: str | None) -> set[str]:
 
 
 def sample(documents: DataFrame, labels: DataFrame, learns: Column, max_positive: int, max_unlabelled: int) -> tuple[DataFrame, float]:
-    """(uid, text, positive, unlabelled) of the bounded training sample, and the class prior."""
+    """(draw, text, positive, unlabelled) of the bounded training sample, and the class prior."""
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learns).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n_marked, n_toxic = marks.agg(F.count("*"), F.count_if(F.col("toxic") == 1)).first()
     n_rows = documents.filter(learns).count()
     few = marks.filter(F.col("toxic") == 1)
     few = few.filter(unit_hash("doc_id", SALT) < max_positive / max(1, n_toxic)).select(F.col("doc_id").alias("_toxic_id"))
-    learn = documents.filter(learns)
-    unlabelled = F.coalesce(unit_hash("doc_id", SALT + 1) < max_unlabelled / max(1, n_rows), F.lit(False))
-    joined = learn.join(F.broadcast(few), F.col("doc_id") == F.col("_toxic_id"), "left")  # at most about max_positive ids
-    chosen = joined.select("doc_id", "text", F.col("_toxic_id").isNotNull().alias("positive"), unlabelled.alias("unlabelled"))
+    few = F.broadcast(few)  # at most about max_positive ids
+    n_positive = documents.filter(learns).join(few, F.col("doc_id") == F.col("_toxic_id"), "left_semi").count()
+    learn = with_row_draw(documents.filter(learns), "draw", SALT + 1)
+    unlabelled = F.col("draw") < max_unlabelled / max(1, n_rows)
+    positive = F.col("_toxic_id").isNotNull() & (unit_hash("draw", SALT + 2) < max_positive / max(1, n_positive))
+    joined = learn.join(few, F.col("doc_id") == F.col("_toxic_id"), "left")
+    chosen = joined.select("draw", "text", positive.alias("positive"), unlabelled.alias("unlabelled"))
     return chosen.filter("positive or unlabelled"), n_toxic / n_marked if n_marked else 0.0
 
 
@@ -130,10 +134,10 @@ def fit(documents: DataFrame, labels: DataFrame, learns: Column, max_positive: i
                 for word in words_of(text) & place.keys():
                     bits[row, place[word]] = True
             packed = [bytes(line) for line in np.packbits(bits, axis=1)]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1), batch.column(2)], names=["bits", "positive", "unlabelled"])
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1), batch.column(2), batch.column(3)], names=["bits", "positive", "unlabelled", "draw"])
 
-    marked = chosen.select("text", "positive", "unlabelled", "doc_id").orderBy("doc_id").drop("doc_id")
-    rows = marked.mapInArrow(mark, "bits binary, positive boolean, unlabelled boolean").toPandas()
+    marked = chosen.select("text", "positive", "unlabelled", "draw").mapInArrow(mark, "bits binary, positive boolean, unlabelled boolean, draw double")
+    rows = marked.orderBy("draw", "bits").limit(BOUND * (max_positive + max_unlabelled)).toPandas()
     x = np.unpackbits(np.array([np.frombuffer(b, np.uint8) for b in rows["bits"]]), axis=1, count=len(vocabulary)).astype(np.float32)
     positive, unlabelled = x[rows["positive"].to_numpy()], x[rows["unlabelled"].to_numpy()]
     weights = np.mean([train(positive, part, prior) for part in (unlabelled[i::n_models] for i in range(n_models)) if len(part)] or [np.zeros(len(vocabulary) + 1)], axis=0)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoplane.llm import mixing, pitmanyor, queries, toxicity
+from shoplane.llm import mixing, pitmanyor, queries, secretscan, toxicity
 from shoplane.llm.common import remainder
 
 from corpus_cases import MIDDLE, SMALL, TESTDATA, empty, no_labels, odd  # noqa: F401
@@ -293,3 +293,16 @@ def test_common_words_count_every_run(spark):
     assert pitmanyor.common_words(pitmanyor._texts(texts), 3) == [b"both", b"some", b"w00000"]
     texts = pitmanyor._texts(spark.createDataFrame([(flat,)] * 2 + [("other",)], "text string").coalesce(1))
     assert pitmanyor.common_words(texts, 2) == [b"w00000", b"w00001"]
+
+
+def test_samples_are_bounded_whatever_ids_rows_share(spark):
+    """A third of all rows without id, a third under one toxic id: the sample keeps its size."""
+    text = F.concat(F.lit("text "), F.col("id").cast("string"))
+    documents = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, -1).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
+    labels = spark.createDataFrame([(-1, 1), (2, 0)], "doc_id long, toxic int")
+    chosen, _ = toxicity.sample(documents, labels, F.lit(True), 400, 900)
+    row = chosen.agg(F.count_if("positive"), F.count_if("unlabelled"), F.count_if(F.col("text").substr(6, 9).cast("long") % 3 == 0)).first()
+    assert 300 < row[0] < 500 and 750 < row[1] < 1050 and 200 < row[2] < 400
+    texts = documents.withColumn("text", F.lit("abcd"))
+    drawn = secretscan.with_row_draw(texts, "draw", 5)
+    assert 4600 < drawn.filter("doc_id is null and draw < 0.5").count() < 5400
