@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplane.llm import licenses, mixing, packing, permindex, pitmanyor, quality, secretscan, simhash, tokenfiles, toxicity
+from shoplane.llm import alignment, filteraudit, licenses, mixing, packing, permindex, pitmanyor, quality, secretscan, simhash, tokenfiles, toxicity, warcshards
 from shoplane.llm.common import remainder, table
 from shoplane.session import scratch_path
 
@@ -77,6 +77,20 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warcshards.write(table(spark, sf_dir, "pages"), folder)
+    return warcshards.read(spark, folder)
+
+
+def op12_pointer_jump_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _cutoff_sql() -> str:
     """The rules' cutoffs as SQL values: rule, expression's column, cutoff."""
     return ", ".join(f"('{name}', {value})" for name, (_, values) in quality.RULES.items() for value in values)
@@ -130,6 +144,64 @@ from judged
 """
 
 
+#: Five hex digits of the digest are twenty bits, four letters of base 32.
+WARC_SQL = """
+with payloads as (
+  select page_id, coalesce(html, '') as t, sha1(coalesce(html, '')) as h from pages
+), firsts as (
+  select t, min(page_id) as first from payloads group by t
+), digits as (
+  select payloads.page_id, t, first, list_transform(generate_series(0, 7), lambda i: cast('0x' || substr(h, cast(i * 5 + 1 as int), 5) as bigint)) as v
+  from payloads join firsts using (t)
+)
+select page_id, cast(strlen(t) as bigint) as payload_bytes,
+  array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((x >> s) & 31) + 1 as int), 1)), '')), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from digits
+"""
+
+AUDIT_SQL = """
+with raw as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, min(doc_id) over (partition by coalesce(text, '')) as first from documents
+), words as (
+  select *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from raw
+), marks as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id
+), failing as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, {
+    'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(first < words.doc_id, false)} as f
+  from words left join marks on words.doc_id = marks.doc_id
+), kinds as (
+  select part, good, toxic, (case when f.A then 'A' else '' end) || (case when f.B then 'B' else '' end) || (case when f.C then 'C' else '' end)
+    || (case when f.D then 'D' else '' end) || (case when f.E then 'E' else '' end) as fails, count(*) as n
+  from failing group by all
+), letters(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')
+), orders as (
+  select a.x || b.x || c.x || d.x || e.x as o from letters a, letters b, letters c, letters d, letters e
+  where b.x <> a.x and c.x not in (a.x, b.x) and d.x not in (a.x, b.x, c.x) and e.x not in (a.x, b.x, c.x, d.x)
+), steps as (select o, cast(s as int) as step, substr(o, cast(s as int), 1) as x from orders, generate_series(1, 5) g(s)
+), gone as (
+  select kinds.*, o, coalesce((select min(strpos(o, z.x)) from letters z where strpos(fails, z.x) > 0), 9) as removed_at from kinds, orders
+), cells as (
+  select part, steps.o, step, steps.x,
+    sum(case when removed_at > step then n else 0 end) as kept, sum(case when removed_at = step then n else 0 end) as removed,
+    sum(case when strpos(fails, steps.x) > 0 and removed_at < step then n else 0 end) as redundant,
+    sum(case when fails = steps.x then n else 0 end) as unique_fails,
+    sum(case when removed_at = step and good = 1 then n else 0 end) as good_lost,
+    sum(case when removed_at = step and toxic = 1 then n else 0 end) as toxic_lost
+  from gone join steps on gone.o = steps.o group by all
+)
+select part, o as filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+  cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, x) as bigint) as shapley
+from cells
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         made.__name__: made
@@ -144,9 +216,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_license_signatures,
             op9_risk_controlled_quality,
             op10_pitman_yor_scores,
+            op11_sharded_warc,
+            op12_pointer_jump_alignment,
+            op13_filter_audit,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_risk_controlled_quality": QUALITY_SQL}
+    return {"op9_risk_controlled_quality": QUALITY_SQL, "op11_sharded_warc": WARC_SQL, "op13_filter_audit": AUDIT_SQL}
