@@ -7,7 +7,7 @@ from itertools import permutations
 
 import numpy as np
 import pytest
-from corpus_cases import MIDDLE, SMALL
+from corpus_cases import MIDDLE, SMALL, documents, empty, no_labels, odd  # noqa: F401
 
 from oracle import compare
 from shoplane.llm import filteraudit, queries
