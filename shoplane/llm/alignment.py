@@ -10,9 +10,9 @@ their numbers; corpus-wide pair counts come from it, summed in tasks before the
 fewer than 2^18 of them, are looked up in a sorted array that every task has; the others, none of them frequent, are joined by pair.
 
 Null and empty texts, and texts whose token bytes differ from a blank and the text for either tokenizer, have no tokens: zeros and
-no groups. Null ids stay null, repeated rows are texts of their own and count as such. Very long texts are encoded in pieces cut
-at single blanks between words, where neither tokenizer joins tokens; the ids are those of the whole text. An empty table gives
-no rows. Other columns are ignored.
+no groups. Null ids stay null, repeated rows are texts of their own and count as such. Texts are encoded in words or pieces cut at
+single blanks between words, where neither tokenizer joins tokens; the ids are those of the whole text. An empty table gives no
+rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ CHUNK = 1 << 19
 FREQUENT = 1 / (1 << 18)
 #: Distinct pairs a task counts before it hands them on.
 HELD = 1 << 21
+#: Words a Python worker keeps the ids of, some 220 bytes each; beyond that it starts anew. So many new words go through one call.
+CACHE_WORDS, LEARNT = 800_000, 1000
+#: Marks the ids of B where they stand beside those of A.
+OF_B = np.uint32(1 << 31)
 DIGITS = 6
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -69,6 +73,10 @@ class Aligner:
         self.cuttable = not any("▁" in name.lstrip("▁") for name in names)
         self.a_sizes = np.array([len(raw) for raw in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(raw) for raw in self.b_bytes], np.int64)
+        self.a_opens = np.array([raw.startswith(b" ") for raw in self.a_bytes])
+        self.b_opens = np.array([raw.startswith(b" ") for raw in self.b_bytes])
+        self.ids: dict[str, bytes] = {}
+        self.odd: set[str] = set()
         self.width = len(names)
         most = max(len(self.a_bytes), len(names))
         self.digits = np.array([list(str(number).rjust(DIGITS, "\0").encode() + b"\0") for number in range(most)], np.uint8)
@@ -83,30 +91,78 @@ class Aligner:
             start = found.end()
         return [*cuts, text[start:]]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _whole(self, text: str) -> tuple[bytes, bytes]:
         """Ids of blank + text and of the text by either tokenizer; none where their bytes are not those of blank + text."""
-        cut = [self._pieces(text) for text in texts]
-        flat = [piece for pieces in cut for piece in pieces]
-        a = [found.ids for found in self.a.encode_batch_fast([" " + piece for piece in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1)
-        all_a, all_b, place = [], [], 0
-        for text, pieces in zip(texts, cut, strict=True):
-            a_ids, b_ids = a[place], b[place]
-            for more in range(place + 1, place + len(pieces)):
-                a_ids, b_ids = a_ids + a[more], b_ids + b[more]
-            place += len(pieces)
-            raw = b" " + text.encode()
-            whole = text and b"".join(map(self.a_bytes.__getitem__, a_ids)) == raw and b"".join(map(self.b_bytes.__getitem__, b_ids)) == raw
-            all_a.append(a_ids if whole else [])
-            all_b.append(b_ids if whole else [])
-        return all_a, all_b
+        pieces = self._pieces(text)
+        a = [found.ids for found in self.a.encode_batch_fast([" " + piece for piece in pieces], add_special_tokens=False)]
+        return self._checked(text, [i for ids in a for i in ids], [i for ids in self.b.encode(pieces, num_threads=1) for i in ids])
+
+    def _checked(self, text: str, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        raw = b" " + text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return b"", b""
+        return np.asarray(a, "<u4").tobytes(), (np.asarray(b, "<u4") | OF_B).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Put new words in the cache; those that cannot stand alone (empty, a blank before, not given back) are odd."""
+        apart = [word for word in words if word and not word[0].isspace() and "▁" not in word]
+        self.odd.update(set(words).difference(apart))
+        for start in range(0, len(apart), LEARNT):
+            some = apart[start : start + LEARNT]
+            line = " ".join(some)
+            a, b = self.a.encode(" " + line, add_special_tokens=False).ids, self.b.encode(line)
+            a_raw, b_raw = self._checked(line, a, b)
+            a_cuts, b_cuts = np.flatnonzero(self.a_opens[a]) * 4, np.flatnonzero(self.b_opens[b]) * 4
+            if a_raw and len(a_cuts) == len(b_cuts) == len(some):
+                a_cuts, b_cuts = [*a_cuts.tolist(), len(a_raw)], [*b_cuts.tolist(), len(b_raw)]
+                starts, stops = zip(a_cuts, b_cuts, strict=True), zip(a_cuts[1:], b_cuts[1:], strict=True)
+                for word, (a_start, b_start), (a_stop, b_stop) in zip(some, starts, stops, strict=False):
+                    self.ids[word] = a_raw[a_start:a_stop] + b_raw[b_start:b_stop]
+                continue
+            for word in some:
+                a_raw, b_raw = self._whole(word)
+                if a_raw:
+                    self.ids[word] = a_raw + b_raw
+                else:
+                    self.odd.add(word)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of blank + text by A and of the text by B, 32 bits each, those of B marked, each in their order.
+
+        There are none where the bytes of either are not those of blank + text.
+
+        Between two words with one blank neither tokenizer joins tokens, so words are encoded once per worker and put together.
+        Texts with other blanks around a blank, or with words that are not given back, are encoded whole.
+        """
+        cut = [text.split(" ") for text in texts]
+        every = set().union(*cut)
+        new = every.difference(self.ids, self.odd)
+        if new:
+            if len(self.ids) + len(self.odd) + len(new) > CACHE_WORDS:
+                self.ids.clear()
+                self.odd.clear()
+                new = every
+            self._learn(list(new))
+        odd = self.odd.intersection(every)
+        found = []
+        for text, words in zip(texts, cut, strict=True):
+            if not text:
+                found.append(b"")
+            elif not self.cuttable or odd and not odd.isdisjoint(words):
+                found.append(b"".join(self._whole(text)))
+            else:
+                found.append(b"".join(map(self.ids.__getitem__, words)))
+        return found
 
     def align(self, texts: list[str]) -> list[tuple]:
         """n_a, n_b, n_groups, n_links, hash of the groups, linked pairs and their numbers (int64 arrays) of every text."""
-        a_lists, b_lists = self.encode(texts)
-        a_counts, b_counts = np.array([len(ids) for ids in a_lists]), np.array([len(ids) for ids in b_lists])
-        a = np.fromiter((number for ids in a_lists for number in ids), np.int64, a_counts.sum())
-        b = np.fromiter((number for ids in b_lists for number in ids), np.int64, b_counts.sum())
+        encoded = self.encode(texts)
+        both = np.frombuffer(b"".join(encoded), "<u4")
+        of_b = both >= OF_B
+        stops = np.cumsum([len(ids) // 4 for ids in encoded])
+        b_counts = np.diff(np.concatenate([[0], np.cumsum(of_b)])[stops], prepend=0)
+        a_counts = np.diff(stops, prepend=0) - b_counts
+        a, b = both[~of_b].astype(np.int64), (both[of_b] ^ OF_B).astype(np.int64)
         if not len(a):
             none = np.zeros(0, np.int64)
             return [(0, 0, 0, 0, "", none, none)] * len(texts)

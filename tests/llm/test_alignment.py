@@ -113,12 +113,21 @@ def test_pointers_end_at_common_ends(sizes, data):
     assert np.array_equal(np.concatenate([a_ends, b_ends])[found], common[np.searchsorted(common, ends)])
 
 
-def test_texts_cut_in_pieces_have_the_ids_of_the_whole(monkeypatch, texts):
+def test_texts_cut_in_words_or_pieces_have_the_ids_of_the_whole(monkeypatch, plain, texts):
+    picked = [*texts.values()][:40] + [text for text in ODD if text] + ["a \n b  c   d\t e\r\n " * 30, "x \ny", "x\n y", "x\n \ny", "x ", "a\u2003 b"]
+    expected = [tuple([number for number, _ in side] for side in plain(text)) for text in picked]
+
+    def told_apart(raw):
+        ids = np.frombuffer(raw, "<u4")
+        return ids[ids < alignment.OF_B].tolist(), (ids[ids >= alignment.OF_B] ^ alignment.OF_B).tolist()
+
+    tool = alignment.Aligner(*PATHS)
+    assert [told_apart(raw) for raw in tool.encode(picked)] == expected
+    for name, value in (("CHUNK", 7), ("LEARNT", 3), ("CACHE_WORDS", 50)):
+        monkeypatch.setattr(alignment, name, value)
     tool = alignment.Aligner(*PATHS)
-    picked = [*texts.values()][:40] + [text for text in ODD if text] + ["a \n b  c   d\t e\r\n " * 30]
-    whole = tool.encode(picked)
-    monkeypatch.setattr(alignment, "CHUNK", 7)
-    assert tool.encode(picked) == whole
+    assert [told_apart(b"".join(tool._whole(text))) for text in picked] == expected
+    assert [told_apart(tool.encode([text])[0]) for text in picked] == expected
 
 
 def test_packing_is_undone():
