@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -84,7 +84,7 @@ class Lake:
         try:
             return reader.parquet(path)
         except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
+            if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or one without a file
                 return None
             raise
 
@@ -156,6 +156,12 @@ class Lake:
             self.log_path(log)
         )
 
+    def drop_partitions(self, log: str, partition: str, values: Iterable) -> None:
+        """Take whole partitions out of a log; one that is not there is passed over."""
+        for value in values:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.log_path(log)}/{partition}={value}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def refresh(self, tables: Mapping[str, DataFrame]) -> None:
         """Replace the four business tables; the incident ledger is left alone."""
         self.publish({f"raw_{table}": self.write(tables[table], f"raw_{table}") for table in TABLES})

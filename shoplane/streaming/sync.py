@@ -1,9 +1,9 @@
 """Incremental sync of orders, late rows included, and streaming views of them.
 
-Change files land in a folder and are read as a stream. Each batch goes into a log partitioned by day and batch; the
-days it touches, however old, are then rebuilt from the log. No watermark decides what counts, so an order dated weeks
-back lands like any other. Every step overwrites exactly its own partitions or publishes a new version, so a batch that
-is run again after a failure leaves the same tables.
+Change files land in a folder and are read as a stream. Each batch is logged with the spans its keys lay in before
+(``sources.keyed``); the spans it touches, however old, are then rebuilt. No watermark decides what counts, so an order dated
+weeks back lands like any other, and one that comes back with another moment leaves its old day. Every step overwrites exactly
+its own partitions or publishes a new version, so a batch that is run again after a failure leaves the same tables.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplane.contracts import ORDERS
+from shoplane.contracts import ORDERS, TABLES
 from shoplane.functions.scalars import day_of, utc
-from shoplane.operators.capture import latest_version
 from shoplane.operators.gates import freshness
 from shoplane.operators.staging import deduplicate
 from shoplane.plans.marts import fct_daily_revenue
+from shoplane.sources import keyed
 from shoplane.sources.tables import Lake
 
-LOG, STAGED, DAILY, FRESHNESS = "raw_orders", "stg_orders", "fct_daily_revenue", "freshness"
+STAGED, DAILY, FRESHNESS = "stg_orders", "fct_daily_revenue", "freshness"
 
 
 def change_stream(
@@ -51,24 +51,22 @@ def land_batch(
 ) -> None:
     """Log one batch, rebuild the spans it touches and note how fresh the lane is.
 
-    A span is a day, or a coarser ``grain`` such as a month where days hold few rows. An order keeps its ``ordered_at``
-    for life; everything else of it may change from batch to batch.
+    A span is a day, or a coarser ``grain`` such as a month where days hold few rows. An order may change in anything, its
+    moment included: the span it leaves is rebuilt as well as the one it comes to.
     """
-    span = F.date_trunc(grain, "ordered_at").cast("date")
-    tagged = batch.withColumn("span", span).withColumn("batch_id", F.lit(batch_id))
-    lake.overwrite_days(tagged, LOG, "span", "batch_id")
-    log = lake.read_log(LOG, tagged.schema)
-    if log is None:
+    changes = batch.withColumn("op", F.lit(keyed.UPSERT)).withColumn("seq", F.lit(batch_id).cast("bigint"))
+    landed = keyed.land_orders(lake, changes, batch_id, grain)
+    if landed is None:
         return
-    touched = log.filter(F.col("batch_id") == batch_id).select("span").distinct()
-    spans = F.broadcast(touched)  # one row per calendar day at most
-    rebuilt = deduplicate(latest_version(log.join(spans, "span", "left_semi"), "order_id", "batch_id")).drop("batch_id")
-    lake.overwrite_days(rebuilt, STAGED, "span")
+    spans = keyed.values(landed, "old_span", "new_span")
+    state = lake.read_log(keyed.state_log("orders"))
+    before = lake.read_log(STAGED)
+    rebuilt = deduplicate(state.filter(F.col("span").isin(*spans)))
+    keyed.replace(lake, STAGED, rebuilt, "span", spans, None if before is None else before.filter(F.col("span").isin(*spans)))
     staged, current = lake.read_log(STAGED, rebuilt.schema), lake.read(DAILY)
-    lines = fct_daily_revenue(staged.join(spans, "span", "left_semi"))
+    lines = fct_daily_revenue(staged.filter(F.col("span").isin(*spans)))
     if current is not None:
-        line_span = F.date_trunc(grain, "day").cast("date")
-        lines = lines.unionByName(current.join(spans, line_span == F.col("span"), "left_anti"))
+        lines = lines.unionByName(current.filter(~keyed.span_of("day", grain).isin(*spans)))
     daily = lake.replace(lines.coalesce(1), DAILY)
     if as_of is not None:
         newest_span = daily.filter(F.col("day") <= day_of(utc(as_of))).agg(F.date_trunc(grain, F.max("day")).cast("date")).first()[0]
@@ -77,6 +75,26 @@ def land_batch(
         lake.overwrite_days(note.coalesce(1), FRESHNESS, "batch_id")
 
 
+def change_schema(table: str) -> T.StructType:
+    """A row of a change file: the table's columns, ``op`` (upsert or delete; a delete needs the key only) and ``seq``."""
+    fields = [T.StructField(field.name, field.dataType) for field in TABLES[table].fields]
+    return T.StructType([*fields, T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())])
+
+
+def sync_changes(spark: SparkSession, folder: str, lake: Lake, checkpoint: str, grain: str = "day", files_per_batch: int | None = None) -> None:
+    """Land every change file under ``folder/<table>`` that has not landed, table by table, deletes included.
+
+    Tables may come in any order and at any pace; ``plans.refresh`` brings the marts to what has landed.
+    """
+    for table in TABLES:
+
+        def run(batch: DataFrame, batch_id: int, table: str = table) -> None:
+            keyed.land(lake, table, batch, batch_id, grain)
+
+        stream = change_stream(spark, f"{folder}/{table}", change_schema(table), files_per_batch, "*.parquet")
+        run_batches(stream, run, f"{checkpoint}/{table}")
+
+
 def sync_orders(
     stream: DataFrame,
     lake: Lake,
@@ -97,25 +115,28 @@ def sync_orders(
 def _spans(batch: DataFrame, moment: str, grain: str) -> DataFrame:
     """Rows with their span; a zone-less timestamp is read in the session zone, a missing one has a span of its own."""
     timed = batch.withColumn(moment, F.col(moment).cast("timestamp"))
-    return timed.withColumn("span", F.coalesce(F.date_trunc(grain, moment).cast("date"), F.lit("0001-01-01").cast("date")))
+    return timed.withColumn("span", keyed.span_of(moment, grain))
 
 
 def land_once(lake: Lake, batch: DataFrame, batch_id: int, log: str, key: str, moment: str, grain: str = "month") -> None:
-    """Add rows of a batch whose key has not landed yet, however old they are; a key keeps its ``moment`` for life.
+    """Add rows of a batch whose key has not landed yet, however old they are and whatever their moment.
 
-    Repeats inside the batch are reduced first, then only the touched spans of the log are looked up. A batch that runs
-    again replaces its own rows.
+    Repeats inside the batch are reduced first; an index by key tells what has landed, of which only the ranges the batch falls into
+    are read. A batch that runs again replaces its own rows.
     """
     tagged = _spans(batch, moment, grain)
     others = [name for name in tagged.columns if name != key]
     firsts = tagged.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*")
     firsts = firsts.select(*tagged.columns).withColumn("batch_id", F.lit(batch_id))
-    landed = lake.read_log(log, firsts.schema)
+    index = keyed.KeyIndex(lake, log, key)
+    landed = index.find(batch)
     if landed is not None:
-        touched = F.broadcast(tagged.select("span").distinct())  # one row per span at most
-        known = landed.filter(F.col("batch_id") != batch_id).join(touched, "span", "left_semi").select(key)
+        known = landed.filter(F.col("seq") != batch_id).select(key)
         firsts = firsts.join(known, key, "left_anti").select(*firsts.columns)
     lake.overwrite_days(firsts, log, "span", "batch_id")
+    mine = lake.read_log(log)
+    if mine is not None:
+        index.put(mine.filter(F.col("batch_id") == batch_id).select(key, F.col("batch_id").cast("bigint").alias("seq"), "span"))
 
 
 def land_rate(lake: Lake, batch: DataFrame, batch_id: int, log: str, moment: str, length: str, grain: str = "month") -> None:
