@@ -14,9 +14,9 @@ from shoplane.functions.scalars import day_of, utc
 from shoplane.operators import capture, defects, gates, quantiles, reconcile, selection, staging, synth
 from shoplane.operators.lookup import without_match
 from shoplane.operators.numbering import append_with_keys
-from shoplane.plans import marts, questions
+from shoplane.plans import marts, questions, refresh
 from shoplane.session import scratch_path
-from shoplane.sources import star
+from shoplane.sources import keyed, star
 from shoplane.sources.tables import Lake
 from shoplane.streaming import sync
 
@@ -328,10 +328,15 @@ def reconcile_closed_days(spark, folder):
     rules = staging.row_rules("orders", star.star_domains()["orders"])
     good, aside = staging.quarantine(staging.stage(source, ORDERS), rules)
     return reconcile.reconcile(
-        source, staging.deduplicate(good), staging.removed_by_dedup(good), aside, day_of(utc(AS_OF))
+        source, staging.deduplicate(good), staging.removed_by_dedup(good), aside, _day_after(source)
     )
 
 
+def _day_after(orders: DataFrame):
+    """The day after the newest order, by which every day is closed."""
+    return orders.select(F.date_add(F.max(day_of("ordered_at")), 1)).scalar()
+
+
 @query
 def reconcile_history(spark, folder):
     """Totals stored from clean orders as each day closed against defective orders with late rows now."""
@@ -339,7 +344,7 @@ def reconcile_history(spark, folder):
     in_time = F.pmod("order_id", F.lit(4)) == 0
     stored = reconcile.totals_per_day(star.orders(spark, folder).filter(in_time))
     late = reconcile.totals_per_day(reconcile.late_rows(landed))
-    return reconcile.reconcile_history(stored, reconcile.totals_per_day(landed), late, day_of(utc(AS_OF)))
+    return reconcile.reconcile_history(stored, reconcile.totals_per_day(landed), late, _day_after(landed))
 
 
 @query
@@ -409,10 +414,10 @@ def latest_version(spark, folder):
 
 @query
 def new_rows(spark, folder):
-    """The later snapshot against the orders landed so far: everything past the mark."""
+    """The later snapshot against the orders landed so far: everything past the mark, or missed among the last 1,000 keys."""
     landed, source = star.orders(spark, folder), star.changed_orders(spark, folder)
     mark = capture.high_mark(landed, "order_id")
-    return capture.new_rows(source, landed, "order_id", mark, lookback=mark)
+    return capture.new_rows(source, landed, "order_id", mark, lookback=1000)
 
 
 @query
@@ -587,6 +592,36 @@ def stream_daily_revenue(spark, folder):
     return lake.read(sync.DAILY)
 
 
+def _synced(spark, folder) -> Lake:
+    """The four tables synced from two deliveries of change files, the marts refreshed after each."""
+    lake, files, at = Lake(spark, scratch_path(spark, "synced")), scratch_path(spark, "change-files"), scratch_path(spark, "synced-at")
+    for seq, delivery in enumerate(star.change_files(spark, folder)):
+        for table, (upserts, deletes) in delivery.items():
+            for rows, op in ((upserts, keyed.UPSERT), (deletes, keyed.DELETE)):
+                if rows is not None:
+                    sent = rows.select(*TABLES[table].fieldNames(), F.lit(op).alias("op"), F.lit(seq).cast("bigint").alias("seq"))
+                    sent.write.mode("append").parquet(f"{files}/{table}")
+        sync.sync_changes(spark, files, lake, at, "month")
+        refresh.refresh(lake, AS_OF, star.star_domains(), strict=False, grain="month")
+    return lake
+
+
+@query
+def synced_orders(spark, folder):
+    """The orders after both deliveries: moved, changed, deleted and new ones."""
+    return keyed.current(_synced(spark, folder), "orders")
+
+
+@query
+def synced_fct_orders(spark, folder):
+    return refresh.read_mart(_synced(spark, folder), refresh.FACTS)
+
+
+@query
+def synced_daily_revenue(spark, folder):
+    return refresh.read_mart(_synced(spark, folder), refresh.DAILY)
+
+
 @query
 def stream_dedup(spark, folder, files_per_batch=None):
     """Every order delivered twice, kept once."""

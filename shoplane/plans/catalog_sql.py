@@ -84,6 +84,22 @@ def _texts(words) -> str:
     return ", ".join("'" + word.replace("'", "''") + "'" for word in words)
 
 
+# The tables after both deliveries of change files.
+VIEWS |= {
+    "y_customers": """
+select * replace (case when customer_id % 53 = 4 then 'MACHINERY' else segment end as segment) from v_customers""",
+    "y_products": """
+select * replace (case when product_id % 41 = 7 then 'LARGE' else category end as category) from v_products""",
+    "y_orders": """
+select * replace (case when order_id % 107 = 11 then ordered_at + interval 40 day else ordered_at end as ordered_at) from n_orders""",
+    "y_payments": """
+select * replace (case when payment_id % 223 = 6 then cast(amount * cast(0.5 as decimal(2,1)) as decimal(12,2)) else amount end as amount)
+from v_payments where payment_id % 211 <> 5""",
+    "y_kept": """
+select * from y_orders where total_amount = unit_price * quantity
+qualify row_number() over (partition by customer_id, product_id, ordered_at order by order_id) = 1""",
+}
+
 VIEWS["v_incidents"] = f"""
 select event_id as incident_id, ([{_texts(defects.REGISTRY)}])[1 + event_id % {len(defects.REGISTRY)}] as failure_key,
   concat('event ', cast(event_id as varchar)) as detail, ts as injected_at from events"""
@@ -146,6 +162,12 @@ facts as (select c.*, segment, country, category, cost * quantity as cost_amount
   status is null or status not in ('returned', 'cancelled') as earns_revenue
   from covered c left join v_customers u on u.customer_id = c.customer_id
   left join v_products p on p.product_id = c.product_id)"""
+FACT_COLUMNS = f"""select order_id, {_day('ordered_at')} as order_day, {_moment('ordered_at')} as ordered_at,
+  customer_id, segment, country, product_id, category, quantity, cast(unit_price as double) as unit_price,
+  cast(total_amount as double) as total_amount, cast(cost_amount as double) as cost_amount,
+  cast(total_amount - cost_amount as double) as margin_amount, status, earns_revenue,
+  cast(paid as double) as paid, coverage from facts"""
+SYNCED_FACTS = FACTS.replace("d_orders", "y_kept").replace("d_payments", "y_payments").replace("v_customers", "y_customers").replace("v_products", "y_products")
 KEPT = """kept as (select * from d_orders qualify row_number() over (
   partition by customer_id, product_id, ordered_at order by order_id) = 1)"""
 
@@ -445,11 +467,7 @@ SQL = {
     "dim_products": f"""select product_id, sku, name, category, cast(unit_price as double) as unit_price,
         cast(cost as double) as cost, cast(unit_price - cost as double) as unit_margin,
         {_day('created_at')} as listed_day from v_products""",
-    "fct_orders": f"""with {FACTS} select order_id, {_day('ordered_at')} as order_day, {_moment('ordered_at')} as ordered_at,
-        customer_id, segment, country, product_id, category, quantity, cast(unit_price as double) as unit_price,
-        cast(total_amount as double) as total_amount, cast(cost_amount as double) as cost_amount,
-        cast(total_amount - cost_amount as double) as margin_amount, status, earns_revenue,
-        cast(paid as double) as paid, coverage from facts""",
+    "fct_orders": f"with {FACTS} {FACT_COLUMNS}",
     "fct_daily_revenue": f"""with {KEPT} select {_day('ordered_at')} as day, {REVENUE},
         {_cents('sum(total_amount)', 'count(*)')} as aov from kept group by 1""",
     "gate_not_null": _gates(NULL_RULES),
@@ -514,7 +532,7 @@ SQL = {
           cast(coalesce(sum(total_amount) filter (where not bad and nth > 1), 0) as double) as removed_amount,
           count(*) filter (where bad) as aside_rows,
           cast(coalesce(sum(total_amount) filter (where bad), 0) as double) as aside_amount, true as agrees
-        from numbered where cast(ordered_at as date) < date '2001-08-02' group by 1""",
+        from numbered where cast(ordered_at as date) < (select max(cast(ordered_at as date)) + 1 from d_orders) group by 1""",
     "reconcile_history": f"""with s as (select {TOTALS} from v_orders where order_id % 4 = 0 group by 1),
         c as (select {TOTALS} from l_orders group by 1),
         l as (select {TOTALS} from l_orders where order_id % 4 <> 0 group by 1),
@@ -524,7 +542,7 @@ SQL = {
         select {_day('day')} as day, sn as stored_rows, cast(sa as double) as stored_amount, cn as current_rows,
           cast(ca as double) as current_amount, ln as late_rows, cast(la as double) as late_amount,
           case when sn = cn and sa = ca then 'ok' when sn + ln = cn and sa + la = ca then 'late' else 'mismatch' end as state
-        from filled where day < date '2001-08-02'""",
+        from filled where day is null or day < (select max(cast(ordered_at as date)) + 1 from l_orders)""",
     "control_totals": f"""select {_day('ordered_at')} as day, count(*) as rows, cast(sum(total_amount) as double) as amount
         from d_orders group by 1""",
     "revenue_drivers": f"""select 'cancellations' as driver, count(*) as rows,
@@ -607,11 +625,15 @@ SQL = {
         join {_sample('v_products', 'product_id', TRAFFIC, 'traffic products')} p on p.slot = item)""",
     "synth_customers": f"select {CUSTOMER_COLUMNS} from s_customers",
     "synth_products": f"select {PRODUCT_COLUMNS} from s_products",
-    "synth_orders": f"select {ORDER_COLUMNS} from s_orders",
+    "synth_orders": f"select {ORDER_COLUMNS} from y_orders",
     "synth_payments": f"select {PAYMENT_COLUMNS} from s_payments",
     "stream_daily_revenue": f"""select {_day('ordered_at')} as day, {REVENUE},
         {_cents('sum(total_amount)', 'count(*)')} as aov from (select * from v_orders qualify row_number() over (
         partition by customer_id, product_id, ordered_at order by order_id) = 1) group by 1""",
+    "synced_orders": f"select {ORDER_COLUMNS} from y_orders",
+    "synced_fct_orders": f"with {SYNCED_FACTS} {FACT_COLUMNS}",
+    "synced_daily_revenue": f"""select {_day('ordered_at')} as day, {REVENUE},
+        {_cents('sum(total_amount)', 'count(*)')} as aov from y_kept group by 1""",
     "stream_dedup": f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_moment('o_orderdate')} as o_orderdate,
         o_orderpriority from orders""",
     "stream_order_rate": f"""select {_moment("date_trunc('hour', ts)")} as window_start,

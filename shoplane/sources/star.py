@@ -268,6 +268,31 @@ def changed_orders(spark: SparkSession, folder: str) -> DataFrame:
     return kept.unionByName(fresh)
 
 
+def change_files(spark: SparkSession, folder: str) -> list[dict[str, tuple[DataFrame, DataFrame | None]]]:
+    """Two deliveries of changes of the four tables, each as (rows to upsert, rows to delete).
+
+    First everything; then the orders' later snapshot, some of them 40 days later than before, payments halved or gone, customers of
+    another segment and products of another category.
+    """
+    tables = clean_tables(spark, folder)
+    later = changed_orders(spark, folder)
+    moved = F.when(F.pmod("order_id", F.lit(107)) == 11, F.timestamp_seconds(F.unix_seconds("ordered_at") + 40 * 86400))
+    later = later.withColumn("ordered_at", F.coalesce(moved, F.col("ordered_at")))
+    key = F.col("payment_id")
+    customer_part = F.pmod("customer_id", F.lit(53)) == 4
+    halved = tables["payments"].filter(F.pmod(key, F.lit(223)) == 6).withColumn("amount", (F.col("amount") * F.lit(Decimal("0.5"))).cast(MONEY))
+    touched = (F.pmod("order_id", F.lit(97)) == 3) | (F.pmod("order_id", F.lit(89)) == 5) | moved.isNotNull() | (F.col("order_id") > COPY_OFFSET)
+    return [
+        {table: (rows, None) for table, rows in tables.items()},
+        {
+            "customers": (tables["customers"].filter(customer_part).withColumn("segment", F.lit("MACHINERY")), None),
+            "products": (tables["products"].filter(F.pmod("product_id", F.lit(41)) == 7).withColumn("category", F.lit("LARGE")), None),
+            "orders": (later.filter(touched), tables["orders"].filter(F.pmod("order_id", F.lit(101)) == 7)),
+            "payments": (halved, tables["payments"].filter(F.pmod(key, F.lit(211)) == 5)),
+        },
+    ]
+
+
 def incidents(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """The events as an incident ledger over ``keys``."""
     return read_star(spark, folder, "events").select(

@@ -226,21 +226,20 @@ def test_a_failed_gate_keeps_marts_and_batches_waiting(spark):
     equals_a_whole_build(spark, lake)
 
 
-@pytest.mark.parametrize("step", ["_rewrite", "_follow", "put"])
-def test_a_batch_that_died_halfway_is_repeated(spark, step, monkeypatch):
+def test_a_batch_that_died_halfway_is_repeated(spark, monkeypatch):
     lake, days = start(spark)
-    batch = changes(spark, "orders", [order(0, days[8], 1, 1), order(1, days[1], 2, 1)], 2)
-    target = keyed.KeyIndex if step == "put" else keyed
 
     def dies(*_args, **_more):
         raise OSError("lost")
 
-    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
-        patch.setattr(target, step, dies)
-        keyed.land(lake, "orders", batch, 1)
-    for _ in range(2):
-        keyed.land(lake, "orders", batch, 1)
-    assert [str(span) for span in refresh.refresh(lake, AS_OF).spans] == names(days, 0, 1, 8)
+    for place, step in enumerate(("_rewrite", "_follow", "put"), 1):
+        batch = changes(spark, "orders", [order(place, days[place + 5], 1, 1), order(20, days[0], 2, 1)], place + 1)
+        with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+            patch.setattr(keyed.KeyIndex if step == "put" else keyed, step, dies)
+            keyed.land(lake, "orders", batch, place)
+        for _ in range(2):
+            keyed.land(lake, "orders", batch, place)
+    assert [str(span) for span in refresh.refresh(lake, AS_OF).spans] == names(days, 0, 1, 6, 7, 8)
     equals_a_whole_build(spark, lake)
 
 
