@@ -44,7 +44,12 @@ def diff(old: DataFrame, new: DataFrame, key: str, by_fingerprint: bool = False)
         mark = [F.col(key), _fingerprint(columns).alias("_row")]
         changed = _changes(old.select(*mark), new.select(*mark), key, "_row").select(key)
         old, new = old.join(changed, key, "left_semi"), new.join(changed, key, "left_semi")
-    whole = [F.col(key), F.struct(*columns).alias("_row")]
+    return changes_between(old, new, key)
+
+
+def changes_between(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The changes from a join of whole rows."""
+    whole = [F.col(key), F.struct(*new.columns).alias("_row")]
     return _changes(old.select(*whole), new.select(*whole), key, "_row")
 
 

@@ -17,6 +17,7 @@ from shoplane.operators.numbering import append_with_keys
 from shoplane.plans import marts, questions, refresh
 from shoplane.session import scratch_path
 from shoplane.sources import keyed, star
+from shoplane.sources.snapshots import Snapshot
 from shoplane.sources.tables import Lake
 from shoplane.streaming import sync
 
@@ -388,6 +389,25 @@ def snapshot_diff_by_fingerprint(spark, folder):
     return _flat_changes(changes)
 
 
+def _snapshot(spark, folder) -> Snapshot:
+    snapshot = Snapshot(Lake(spark, scratch_path(spark, "snapshot")), "orders", "order_id", ORDERS.fieldNames(), part=4096, leaf=16)
+    snapshot.bring_to(star.orders(spark, folder))
+    return snapshot
+
+
+@query
+def snapshot_diff_by_tree(spark, folder):
+    return _flat_changes(_snapshot(spark, folder).diff(star.changed_orders(spark, folder)))
+
+
+@query
+def snapshot_brought_up(spark, folder):
+    """The orders after bringing a snapshot to a later one, in the parts that differ."""
+    snapshot = _snapshot(spark, folder)
+    snapshot.bring_to(star.changed_orders(spark, folder))
+    return snapshot.rows()
+
+
 def _flat_changes(changes: DataFrame) -> DataFrame:
     return changes.select(
         "order_id",

@@ -560,6 +560,8 @@ SQL = {
           round(sum(i * d) / nullif(sum(i), 0), 4) as recall from items group by failure_key""",
     "snapshot_diff": f"with {CHANGES} select * from changes",
     "snapshot_diff_by_fingerprint": f"with {CHANGES} select * from changes",
+    "snapshot_diff_by_tree": f"with {CHANGES} select * from changes",
+    "snapshot_brought_up": f"select {ORDER_COLUMNS} from n_orders",
     "apply_changes": f"select {ORDER_COLUMNS} from n_orders",
     "latest_version": """select user_id, event_id, event_type, value from events
         qualify row_number() over (partition by user_id order by event_id desc) = 1""",
