@@ -79,6 +79,11 @@ def build(
     computed twice and a lost executor costs one stage. The fact table is partitioned by ``span``, the day or a coarser
     ``grain`` where days hold too few rows for a file.
     """
+    spark = lake.spark
+    contracts = gates.contract_gate(spark, {table: (source[table].schema, TABLES[table]) for table in TABLES})
+    broken = contracts.filter("failed_rows > 0")
+    if not broken.isEmpty():
+        lake.append(broken.withColumn("as_of", utc(as_of)).coalesce(1), "gate_reports")  # the ledger's scoring reads the reports
     for table, contract in TABLES.items():
         gates.require_contract(source[table], table, contract)
     today = day_of(utc(as_of))

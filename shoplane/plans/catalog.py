@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplane.contracts import NATURAL_KEY, ORDERS, PRIMARY_KEYS, TABLES
 from shoplane.functions.scalars import day_of, utc
-from shoplane.operators import capture, defects, gates, quantiles, reconcile, selection, staging, synth
+from shoplane.operators import capture, defects, gates, quantiles, reconcile, scoring, selection, staging, synth
 from shoplane.operators.lookup import without_match
 from shoplane.operators.numbering import append_with_keys
 from shoplane.plans import marts, questions, refresh
@@ -374,6 +374,28 @@ def detection_score(spark, folder):
     return reconcile.score(star.defect_ledger(spark, folder), found)
 
 
+@query
+def detection_by_build(spark, folder):
+    """A build at the end of every month, judging all there is by then, against a ledger of what was injected when."""
+    tables = star.defect_tables(spark, folder)
+
+    def counted(rows: DataFrame, moment: str, checks: dict) -> DataFrame:
+        month_end = F.add_months(F.date_trunc("month", moment), 1).cast("timestamp") - F.expr("interval 1 second")
+        counts = rows.groupBy(month_end.alias("as_of")).agg(*[F.count_if(broken).alias(f"n{at}") for at, broken in enumerate(checks.values())])
+        lines = [F.struct(F.lit(check).alias("check"), F.col(f"n{at}").alias("failed_rows")) for at, check in enumerate(checks)]
+        return counts.select("as_of", F.inline(F.array(*lines)))
+
+    rules = staging.row_rules("orders", star.star_domains()["orders"])
+    judged = counted(tables["orders"], "ordered_at", {f"orders: {name}": broken for name, broken in rules.items()})
+    copies = staging.removed_by_dedup(tables["orders"]).withColumn("copy", F.lit(True))
+    judged = judged.unionByName(counted(copies, "ordered_at", {scoring.SIGNS["duplicate_order"][0]: F.col("copy")}))
+    orphans = without_match(tables["payments"], tables["orders"], "order_id", "order_id", "payment_id").withColumn("orphan", F.lit(True))
+    judged = judged.unionByName(counted(orphans, "paid_at", {scoring.SIGNS["orphan_payment"][0]: F.col("orphan")}))
+    by_then = Window.partitionBy("check").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)  # one row per month
+    reports = judged.withColumn("failed_rows", F.sum("failed_rows").over(by_then))
+    return scoring.score_builds(star.timed_ledger(spark, folder), reports)
+
+
 # Ingest
 
 

@@ -558,6 +558,28 @@ SQL = {
         select failure_key, cast(sum(i) as bigint) as injected, cast(sum(d) as bigint) as detected,
           cast(sum(i * d) as bigint) as hits, round(sum(i * d) / nullif(sum(d), 0), 4) as "precision",
           round(sum(i * d) / nullif(sum(i), 0), 4) as recall from items group by failure_key""",
+    "detection_by_build": f"""with {KEPT}, ledger as ({LEDGER} union all
+          select 'orphan_payment', payment_id from v_payments where order_id % 953 = 7 and order_id % 941 <> 9),
+        struck as (select failure_key, date_trunc('month', ordered_at) as m, count(*) as n,
+          sum(epoch_us(date_trunc('month', ordered_at) + interval 1 month) // 1000000 - 1 - epoch_us(ordered_at) // 1000000) as delay
+          from ledger join v_orders on order_id = item % 100000000 group by all),
+        judged as (select *, date_trunc('month', ordered_at) as m from d_orders),
+        accused as (select 'missing_customer' as failure_key, m from judged where customer_id is null
+          union select 'invalid_quantity', m from judged where quantity <= 0
+          union select k, m from judged, (values ('negative_price'), ('recurring_incident')) t(k) where unit_price < 0 or total_amount < 0
+          union select 'destructive_fix', m from judged where {ARITHMETIC}
+          union select 'malformed_data', m from judged where status not in ({STATUS_LIST})
+          union select 'duplicate_order', m from judged where order_id not in (select order_id from kept)
+          union select 'orphan_payment', date_trunc('month', paid_at) from d_payments where order_id not in (select order_id from d_orders)),
+        cells as (select failure_key, m, coalesce(n, 0) as n, delay, s.m is not null as had, a.m is not null as blamed
+          from struck s full outer join accused a using (failure_key, m))
+        select failure_key, cast(sum(n) as bigint) as incidents, cast(0 as bigint) as unseen,
+          count(*) filter (where had) as builds_struck, count(*) filter (where blamed) as builds_accused,
+          count(*) filter (where had and blamed) as hits,
+          round(count(*) filter (where had and blamed) / nullif(count(*) filter (where blamed), 0), 4) as "precision",
+          round(count(*) filter (where had and blamed) / nullif(count(*) filter (where had), 0), 4) as recall,
+          round(sum(delay) / nullif(sum(n), 0), 1) as mean_delay_seconds
+        from cells group by failure_key""",
     "snapshot_diff": f"with {CHANGES} select * from changes",
     "snapshot_diff_by_fingerprint": f"with {CHANGES} select * from changes",
     "snapshot_diff_by_tree": f"with {CHANGES} select * from changes",

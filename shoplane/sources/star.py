@@ -241,6 +241,13 @@ def defect_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return in_orders.unionByName(in_payments)
 
 
+def timed_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """``defect_ledger`` as the ledger itself has it: failure and moment, no row."""
+    moments = orders(spark, folder).select(F.col("order_id").alias("_order"), F.col("ordered_at").alias("injected_at"))
+    struck = defect_ledger(spark, folder).withColumn("_of", F.pmod("item", F.lit(COPY_OFFSET)))
+    return struck.join(moments, F.col("_of") == F.col("_order")).select("failure_key", "injected_at")
+
+
 def landed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Defective orders with the moment each landed: the same day for one in four, up to three days late otherwise."""
     delay = F.pmod(F.col("order_id"), F.lit(4)) * 86400
