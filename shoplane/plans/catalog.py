@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shoplane.contracts import NATURAL_KEY, ORDERS, PRIMARY_KEYS, TABLES
 from shoplane.functions.scalars import day_of, utc
-from shoplane.operators import capture, defects, gates, quantiles, reconcile, scoring, selection, staging, synth
+from shoplane.operators import capture, decompose, defects, gates, quantiles, reconcile, scoring, selection, staging, synth
 from shoplane.operators.lookup import without_match
 from shoplane.operators.numbering import append_with_keys
 from shoplane.plans import marts, questions, refresh
@@ -363,6 +363,14 @@ def revenue_drivers(spark, folder):
     )
 
 
+@query
+def revenue_decomposition(spark, folder):
+    """Net revenue month by month: volume, mix of categories, price and cancellation."""
+    goods = star.products(spark, folder).select(F.col("product_id").alias("_product"), "category")
+    orders = star.orders(spark, folder).join(goods, F.col("product_id") == F.col("_product"))
+    return decompose.revenue_decomposition(orders, "category")
+
+
 @query
 def detection_score(spark, folder):
     tables = star.defect_tables(spark, folder)
@@ -489,6 +497,18 @@ def full_refresh(spark, folder):
     return synth.table_counts({table: lake.read(f"raw_{table}") for table in TABLES})
 
 
+@query
+def ledger_append(spark, folder):
+    """The ledger after recording the events in two goes: incidents per failure, and the highest id, which equals their number."""
+    lake, recorded = Lake(spark, scratch_path(spark, "ledger")), _ledger(spark, folder)
+    for part in (0, 1):
+        rows = recorded.filter(F.pmod("incident_id", F.lit(2)) == part).select("failure_key", "detail")
+        lake.record(rows, utc(AS_OF))
+    ids = F.max("incident_id").over(Window.partitionBy())  # the groups below are one row per failure
+    per_key = lake.ledger().groupBy("failure_key").agg(F.count("*").alias("incidents"), F.countDistinct("incident_id").alias("ids"), F.max("incident_id").alias("incident_id"))
+    return per_key.select("failure_key", "incidents", "ids", ids.alias("highest_id"))
+
+
 @query
 def incident_counts(spark, folder):
     return quantiles.incident_counts(_ledger(spark, folder))
@@ -664,6 +684,16 @@ def synced_daily_revenue(spark, folder):
     return refresh.read_mart(_synced(spark, folder), refresh.DAILY)
 
 
+@query
+def stream_freshness(spark, folder):
+    """How fresh the synced orders are after every batch: the newest order up to the moment asked for, and its age."""
+    lake = Lake(spark, scratch_path(spark, "sync"))
+    files = sync.table_stream(spark, folder, "orders", star.STAR_SCHEMAS["orders"])
+    stream = star.streamed_orders(files, spark, folder)
+    sync.sync_orders(stream, lake, scratch_path(spark, "sync-checkpoint"), AS_OF, grain="month").awaitTermination()
+    return lake.read_log(sync.FRESHNESS)
+
+
 @query
 def stream_dedup(spark, folder, files_per_batch=None):
     """Every order delivered twice, kept once."""

@@ -16,7 +16,7 @@ from shoplane.contracts import (
     TABLES,
 )
 from shoplane.functions.scalars import DRAW_MODULUS, draw_constants
-from shoplane.operators import defects, synth
+from shoplane.operators import decompose, defects, synth
 from shoplane.plans.catalog import SEED, TRAFFIC
 from shoplane.sources import star
 
@@ -388,7 +388,48 @@ union all select 'malformed_data', order_id from d_orders where status not in ({
 union all select 'duplicate_order', order_id from d_orders where order_id not in (select order_id from kept)
 union all select 'orphan_payment', payment_id from d_payments where order_id not in (select order_id from d_orders)"""
 
+
+
+def _decomposition() -> str:
+    """Shapley parts of the change of net revenue, month by month."""
+    states = [(s, p, k) for s in (0, 1) for p in (0, 1) for k in (0, 1)]
+    sums = ", ".join(f"sum(s_{s} * p_{p} * k_{k}) as r_{s}{p}{k}" for s, p, k in states)
+
+    def part(place: int) -> str:
+        units = ("q_old", "q_new")
+        terms = [
+            f"{weight!r} * {units[state[0]]} * r_{''.join(map(str, state[1:]))}"
+            for state, weight in decompose.shapley_weights(place).items()
+        ]
+        return f"cast(round(cast({' + '.join(terms)} as decimal(28,8)), 2) as decimal(28,2))"
+
+    volume, price, cancellation = part(0), part(2), part(3)
+    return f"""with cells as (select date_trunc('month', ordered_at) as month, category, cast(sum(quantity) as double) as q,
+        sum(total_amount) as g, sum({NET}) as n, count(*) as o, count(*) filter (where status = 'cancelled') as c
+        from v_orders join v_products using (product_id) group by all),
+      span as (select min(month) as low, max(month) as high from cells),
+      sides as (select month, category, q as q1, g as g1, n as n1, o as o1, c as c1, 0 as q0, 0 as g0, 0 as n0, 0 as o0, 0 as c0 from cells
+        union all select month + interval 1 month, category, 0, 0, 0, 0, 0, q, g, n, o, c from cells),
+      paired as (select month, category, sum(q0) as q0, sum(g0) as g0, sum(n0) as n0, sum(o0) as o0, sum(c0) as c0, sum(q1) as q1,
+        sum(g1) as g1, sum(n1) as n1, sum(o1) as o1, sum(c1) as c1 from sides group by all),
+      shares as (select *, sum(q0) over w as q_old, sum(q1) over w as q_new, sum(n0) over w as n_old, sum(n1) over w as n_new,
+        sum(o0) over w as o_old, sum(o1) over w as o_new, sum(c0) over w as c_old, sum(c1) over w as c_new
+        from paired, span where month > low and month <= high window w as (partition by month)),
+      factors as (select *, coalesce(s0, s1, 0) as s_0, coalesce(s1, s0, 0) as s_1, coalesce(p0, p1, 0) as p_0, coalesce(p1, p0, 0) as p_1,
+        coalesce(k0, k1, 0) as k_0, coalesce(k1, k0, 0) as k_1 from (select *, q0 / nullif(q_old, 0) as s0, q1 / nullif(q_new, 0) as s1,
+          cast(g0 as double) / nullif(q0, 0) as p0, cast(g1 as double) / nullif(q1, 0) as p1,
+          cast(n0 as double) / nullif(cast(g0 as double), 0) as k0, cast(n1 as double) / nullif(cast(g1 as double), 0) as k1 from shares)),
+      summed as (select month, q_old, q_new, n_old, n_new, o_old, o_new, c_old, c_new, {sums} from factors group by all),
+      parts as (select *, {volume} as volume, {price} as price, {cancellation} as cancellation from summed)
+      select {_day('month')} as month, cast(n_old as double) as net_old, cast(n_new as double) as net_new,
+        cast(n_new - n_old as double) as change, cast(volume as double) as volume,
+        cast(n_new - n_old - volume - price - cancellation as double) as mix, cast(price as double) as price,
+        cast(cancellation as double) as cancellation, round(c_old / nullif(o_old, 0), 4) as cancellation_rate_old,
+        round(c_new / nullif(o_new, 0), 4) as cancellation_rate_new from parts"""
+
+
 SQL = {
+    "revenue_decomposition": _decomposition(),
     "daily_revenue": f"select {_day('ordered_at')} as day, {REVENUE} from v_orders group by 1",
     "revenue_by_category": f"""select category, {REVENUE} from v_orders o
         join v_products p on p.product_id = o.product_id group by category""",
@@ -600,6 +641,8 @@ SQL = {
     "full_refresh": " union all ".join(
         f"select '{table}' as table_name, count(*) as rows from v_{table}" for table in TABLES
     ),
+    "ledger_append": """select failure_key, count(*) as incidents, count(distinct incident_id) as ids,
+        (select count(*) from v_incidents) as highest_id from v_incidents group by failure_key""",
     "incident_counts": "select failure_key, count(*) as incidents from v_incidents group by failure_key",
     "incident_occurrence": f"""select incident_id, failure_key, detail, {_moment('injected_at')} as injected_at,
         row_number() over (partition by failure_key order by injected_at, incident_id) as occurrence from v_incidents""",
@@ -658,6 +701,9 @@ SQL = {
     "synced_fct_orders": f"with {SYNCED_FACTS} {FACT_COLUMNS}",
     "synced_daily_revenue": f"""select {_day('ordered_at')} as day, {REVENUE},
         {_cents('sum(total_amount)', 'count(*)')} as aov from y_kept group by 1""",
+    "stream_freshness": f"""select 0 as batch_id, 'orders' as table_name, {_moment('max(ordered_at)')} as newest_at,
+        epoch_us({AS_OF}) // 1000000 - epoch_us(max(ordered_at)) // 1000000 as lag_seconds,
+        epoch_us({AS_OF}) // 1000000 - epoch_us(max(ordered_at)) // 1000000 <= 300 as fresh from v_orders where ordered_at <= {AS_OF}""",
     "stream_dedup": f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_moment('o_orderdate')} as o_orderdate,
         o_orderpriority from orders""",
     "stream_order_rate": f"""select {_moment("date_trunc('hour', ts)")} as window_start,
