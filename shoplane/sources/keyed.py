@@ -41,21 +41,32 @@ def span_of(moment: str, grain: str) -> Column:
     return F.coalesce(F.date_trunc(grain, F.col(moment).cast("timestamp")).cast("date"), F.lit(NO_SPAN))
 
 
-def once(lake: Lake, log: str, batch_id: int, make: Callable[[], DataFrame], schema=None) -> DataFrame | None:
-    """The rows a batch has in ``log``: those it logged when it first ran, else ``make()``, logged now; None if there are none."""
+def logged(lake: Lake, log: str, batch_id: int) -> DataFrame | None:
+    """The rows one batch has in a log; nothing but its own folder is listed, however many batches there were."""
+    rows = lake.read_log(f"{log}/batch_id={batch_id}")
+    return None if rows is None else rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
-    def mine() -> DataFrame | None:
-        logged = lake.read_log(log, schema)
-        return None if logged is None else logged.filter(F.col("batch_id") == batch_id)
 
-    before = mine()
+def once(lake: Lake, log: str, batch_id: int, make: Callable[[], DataFrame]) -> DataFrame | None:
+    """The rows a batch has in ``log``: those it logged when it first ran, else ``make()``, logged now; None if there are none."""
+    before = logged(lake, log, batch_id)
     if before is not None and not before.isEmpty():
         return before
     lake.overwrite_days(make().withColumn("batch_id", F.lit(batch_id).cast("bigint")), log, "batch_id")
-    now = mine()
+    now = logged(lake, log, batch_id)
     return None if now is None or now.isEmpty() else now
 
 
+def forget(lake: Lake, log: str, upto: int) -> int:
+    """Drop the batches of a log up to and including one; returns how many. Call it for batches that marts and checkpoints are past."""
+    rows = lake.read_log(log)
+    if rows is None:
+        return 0
+    old = [row[0] for row in rows.select("batch_id").distinct().filter(F.col("batch_id") <= upto).collect()]
+    lake.drop_partitions(log, "batch_id", old)
+    return len(old)
+
+
 def replace(lake: Lake, log: str, rows: DataFrame, partition: str, touched: Iterable, read: DataFrame | None) -> None:
     """Make ``rows`` the whole content of the ``touched`` partitions, those without rows included.
 

@@ -122,34 +122,73 @@ def land_once(lake: Lake, batch: DataFrame, batch_id: int, log: str, key: str, m
     """Add rows of a batch whose key has not landed yet, however old they are and whatever their moment.
 
     Repeats inside the batch are reduced first; an index by key tells what has landed, of which only the ranges the batch falls into
-    are read. A batch that runs again replaces its own rows.
+    are read. The spans that get rows are rewritten, so files do not add up; a batch that runs again replaces its own rows.
     """
     tagged = _spans(batch, moment, grain)
     others = [name for name in tagged.columns if name != key]
     firsts = tagged.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*")
-    firsts = firsts.select(*tagged.columns).withColumn("batch_id", F.lit(batch_id))
+    firsts = firsts.select(*tagged.columns).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     index = keyed.KeyIndex(lake, log, key)
     landed = index.find(batch)
     if landed is not None:
         known = landed.filter(F.col("seq") != batch_id).select(key)
         firsts = firsts.join(known, key, "left_anti").select(*firsts.columns)
-    lake.overwrite_days(firsts, log, "span", "batch_id")
-    mine = lake.read_log(log)
-    if mine is not None:
-        index.put(mine.filter(F.col("batch_id") == batch_id).select(key, F.col("batch_id").cast("bigint").alias("seq"), "span"))
+    lake.overwrite_days(_beside(lake, log, firsts, batch_id), log, "span")
+    rows = lake.read_log(log)
+    if rows is not None:
+        mine = rows.filter(F.col("span").isin(*keyed.values(tagged, "span")) & (F.col("batch_id") == batch_id))
+        index.put(mine.select(key, F.col("batch_id").alias("seq"), "span"))
+
+
+def _beside(lake: Lake, log: str, rows: DataFrame, batch_id: int) -> DataFrame:
+    """``rows`` and what other batches have in the spans they fall into."""
+    landed = lake.read_log(log)
+    spans = [] if landed is None else keyed.values(rows, "span")
+    if not spans:
+        return rows
+    others = landed.filter(F.col("span").isin(*spans) & (F.col("batch_id") != batch_id))
+    return rows.unionByName(others.select(*rows.columns))
 
 
 def land_rate(lake: Lake, batch: DataFrame, batch_id: int, log: str, moment: str, length: str, grain: str = "month") -> None:
-    """Log how many rows of a batch fall into each tumbling window; ``rate_per_window`` adds batches up."""
-    counted = _spans(batch, moment, grain).groupBy("span", F.window(moment, length).alias("_window")).agg(F.count("*").alias("rows"))
-    windows = counted.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "rows", "span")
-    lake.overwrite_days(windows.withColumn("batch_id", F.lit(batch_id)), log, "span", "batch_id")
+    """Add the rows of a batch to the counts of their tumbling windows.
+
+    A count is kept with the batch that changed it last and what it was before, so a batch that runs again adds to what was
+    before it. The spans touched are rewritten; there is one set of files per span, whatever the number of batches.
+    """
+    counted = _spans(batch, moment, grain).groupBy("span", F.window(moment, length).alias("_window")).agg(F.count("*").alias("added"))
+    counted = counted.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "added", "span")
+    zero = F.lit(0).cast("bigint")
+    landed, spans = lake.read_log(log), keyed.values(counted, "span")
+    if not spans:
+        return
+    mine = F.lit(batch_id).cast("bigint")
+    if landed is None:
+        merged = counted.select("window_start", "window_end", F.col("added").alias("rows"), zero.alias("rows_before"), mine.alias("batch_id"), "span")
+    else:
+        base = F.when(F.col("batch_id") == batch_id, F.col("rows_before")).otherwise(F.col("rows"))
+        kept = landed.filter(F.col("span").isin(*spans)).withColumns({"base": base, "added": zero})
+        fresh = counted.withColumns({"base": zero, "rows_before": zero, "rows": zero, "batch_id": mine})
+        both = kept.select(*fresh.columns).unionByName(fresh)
+        summed = both.groupBy("window_start", "window_end", "span").agg(
+            F.sum("added").alias("added"), F.sum("base").alias("base"), F.sum("rows").alias("was"), F.sum("rows_before").alias("was_before"), F.min("batch_id").alias("last")
+        )
+        changed = F.col("added") > 0
+        merged = summed.select(
+            "window_start",
+            "window_end",
+            F.when(changed, F.col("base") + F.col("added")).otherwise(F.col("was")).alias("rows"),
+            F.when(changed, F.col("base")).otherwise(F.col("was_before")).alias("rows_before"),
+            F.when(changed, mine).otherwise(F.col("last")).alias("batch_id"),
+            "span",
+        )
+    lake.overwrite_days(merged, log, "span")
 
 
 def rate_per_window(lake: Lake, log: str) -> DataFrame | None:
     """Rows per window over all batches so far, late rows and the latest window included."""
-    logged = lake.read_log(log)
-    return None if logged is None else logged.groupBy("window_start", "window_end").agg(F.sum("rows").alias("rows"))
+    landed = lake.read_log(log)
+    return None if landed is None else landed.select("window_start", "window_end", "rows")
 
 
 def run_batches(stream: DataFrame, land, checkpoint: str) -> None:

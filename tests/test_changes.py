@@ -266,3 +266,30 @@ def test_change_files_of_four_tables_reach_the_marts(spark):
     assert [str(span) for span in found.spans] == ["2026-01-05", "2026-03-05"]
     assert {row["order_id"]: row["segment"] for row in lake.read_log(refresh.FACTS).collect()} == {1: "prime", 2: "business"}
     equals_a_whole_build(spark, lake)
+
+
+def test_files_do_not_add_up_with_batches(spark):
+    lake = new_lake(spark)
+    counts = []
+    for place in range(12):
+        when = JAN + timedelta(days=place % 2)
+        batch = spark.createDataFrame([order(place, when), order(place % 5, when)], ORDERS).coalesce(1)
+        sync.land_once(lake, batch, place, "once", "order_id", "ordered_at", "day")
+        for _ in range(2):
+            sync.land_rate(lake, batch, place, "rate", "ordered_at", "1 hour", "day")
+        counts.append(tuple(sum(map(len, files(lake, log).values())) for log in ("once", "rate", "index/once")))
+    assert max(counts[2:]) <= counts[2] and counts[-1] <= (4, 4, 2)
+    assert sorted(row["order_id"] for row in lake.read_log("once").collect()) == list(range(12))
+    assert {row["rows"] for row in sync.rate_per_window(lake, "rate").collect()} == {12}
+
+
+def test_a_log_is_read_by_batch_and_forgotten_on_request(spark):
+    lake = new_lake(spark)
+    for place in range(4):
+        keyed.land(lake, "orders", changes(spark, "orders", [order(place, JAN)], place + 1), place)
+    one = keyed.logged(lake, keyed.change_log("orders"), 2)
+    assert [row["order_id"] for row in one.collect()] == [2] and all("batch_id=2" in name for name in one.inputFiles())
+    refresh.refresh(lake, AS_OF, strict=False)
+    assert keyed.forget(lake, keyed.change_log("orders"), refresh.marks(lake)["orders"]) == 4
+    keyed.land(lake, "orders", changes(spark, "orders", [order(1, MARCH)], 9), 4)
+    assert [str(span) for span in refresh.refresh(lake, AS_OF, strict=False).spans] == ["2026-01-05", "2026-03-05"]
