@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +28,11 @@ def stage(df: DataFrame, contract: T.StructType) -> DataFrame:
         typed.append(value.alias(field.name))
         if df.schema[field.name].dataType != field.dataType:
             failed.append(F.when(raw.isNotNull() & value.isNull(), F.lit(field.name)))
-    errors = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    if not failed:
+        return df.select(*typed, none.alias("cast_errors"))
+    # the list is built for failing rows only: good ones pass a comparison that is compiled
+    errors = F.when(F.coalesce(*failed).isNotNull(), F.array_compact(F.array(*failed))).otherwise(none)
     return df.select(*typed, errors.alias("cast_errors"))
 
 
@@ -50,14 +56,19 @@ def broken_rules(rules: Mapping[str, Column]) -> Column:
 
 
 def quarantine(staged: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Split staged rows into those keeping every rule and those set aside with their ``reasons``."""
+    """Split staged rows into those keeping every rule and those set aside with their ``reasons``.
+
+    A row is judged by one condition that is compiled; the list of reasons is made for the rows set aside only.
+    """
+    broken = [F.coalesce(condition, F.lit(False)) for condition in rules.values()]
     reasons = broken_rules(rules)
     if "cast_errors" in staged.columns:
+        broken.append(F.size("cast_errors") > 0)
         cast = F.transform("cast_errors", lambda column: F.concat(column, F.lit(" " + CAST_FAILED)))
         reasons = F.concat(cast, reasons)
-    judged = staged.withColumn("reasons", reasons).drop("cast_errors")
-    good = judged.filter(F.size("reasons") == 0).drop("reasons")
-    return good, judged.filter(F.size("reasons") > 0)
+    bad = reduce(or_, broken, F.lit(False))
+    good = staged.filter(~bad).drop("cast_errors")
+    return good, staged.filter(bad).withColumn("reasons", reasons).drop("cast_errors")
 
 
 def deduplicate(orders: DataFrame, natural_key: Sequence[str] = NATURAL_KEY, key: str = "order_id") -> DataFrame:
