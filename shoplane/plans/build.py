@@ -55,11 +55,17 @@ def staged_gate(orders: DataFrame) -> DataFrame:
 
 
 def timely_gates(orders: DataFrame, as_of: datetime) -> list[DataFrame]:
-    """Volume of the last two days, from orders as landed up to ``as_of``, and freshness."""
+    """Volume of the last two days, from orders as landed up to ``as_of``, and freshness.
+
+    A day that is not over may already be a spike of a whole day; a drop is judged against earlier days up to the same time.
+    """
     now = utc(as_of)
     today = day_of(now)
+    whole_days = questions.volume_flags(orders.filter(F.col("ordered_at") <= now))
+    until_now = questions.volume_until_now(orders, now)
+    flags = whole_days.filter((F.col("flag") == "spike") | (F.col("day") < today)).unionByName(until_now.filter("flag = 'drop'"))
     return [
-        gates.volume_gate(questions.volume_flags(orders.filter(F.col("ordered_at") <= now)), F.date_sub(today, 1), today),
+        gates.volume_gate(flags, F.date_sub(today, 1)),
         gates.freshness_gate(orders, "ordered_at", now),
     ]
 

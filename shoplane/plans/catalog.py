@@ -318,6 +318,14 @@ def gate_volume(spark, folder):
     return gates.volume_gate(questions.volume_flags(star.defect_orders(spark, folder)))
 
 
+@query
+def open_day_volume(spark, folder):
+    """The last day of the events, taken as open at noon: events so far against the 28 days before, up to noon."""
+    events = star.read_star(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ordered_at"), F.lit("placed").alias("status"), F.lit(0).cast("decimal(12,2)").alias("total_amount"))
+    noon = events.select(F.date_trunc("day", F.max("ordered_at")) + F.expr("interval 12 hours")).scalar()
+    return questions.volume_until_now(events, noon)
+
+
 @query
 def late_rows(spark, folder):
     return reconcile.late_rows(star.landed_orders(spark, folder))

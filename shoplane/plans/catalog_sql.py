@@ -560,6 +560,17 @@ SQL = {
           from daily window w as (order by day rows between 28 preceding and 1 preceding))
         select 'orders: daily volume' as "check", 'warn' as severity, count(*) as failed_rows,
           {_day('min(day)')} as sample from based where orders > mean + 3 * sd or orders < mean - 3 * sd""",
+    "open_day_volume": f"""with noon as (select date_trunc('day', max(ts)) + interval 12 hour as t from events),
+        counted as (select cast(ts as date) as day, count(*) as n from events, noon
+          where ts <= t and epoch_us(ts) // 1000000 % 86400 <= 43200 group by 1),
+        line as (select cast(unnest(generate_series((select min(day) from counted), (select cast(t as date) from noon), interval 1 day)) as date) as day),
+        daily as (select line.day, cast(coalesce(n, 0) as hugeint) as x from line left join counted using (day)),
+        w as (select day, x, count(*) over b as n, coalesce(sum(x) over b, 0) as s, coalesce(sum(x * x) over b, 0) as q from daily
+          window b as (order by day rows between 28 preceding and 1 preceding))
+        select {_day('day')} as day, cast(x as bigint) as orders, n as baseline_days, cast(s as bigint) as baseline_orders,
+          case when (n * x - s) * (n * x - s) * (n - 1) > 9 * n * (n * q - s * s) and n * x > s then 'spike'
+            when (n * x - s) * (n * x - s) * (n - 1) > 9 * n * (n * q - s * s) and n * x < s then 'drop' else 'normal' end as flag
+        from w where day = (select cast(t as date) from noon)""",
     "late_rows": f"""select {ORDER_COLUMNS}, {_moment('landed_at')} as landed_at,
         cast(date_diff('day', cast(ordered_at as date), cast(landed_at as date)) as int) as days_late
         from l_orders where cast(landed_at as date) > cast(ordered_at as date)""",

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplane.functions.scalars import TOTAL, earns, noise_in_text, total
+from shoplane.functions.scalars import TOTAL, day_of, earns, noise_in_text, total
 from shoplane.operators.daily import (
     daily_totals,
     day_over_day,
@@ -149,6 +149,22 @@ def volume_flags(raw_orders: DataFrame, window_days: int = 28, deviations: int =
     return volume_anomalies(on_every_day(daily_totals(raw_orders)), window_days, deviations)
 
 
+def volume_until_now(raw_orders: DataFrame, now: Column, window_days: int = 28, deviations: int = 3) -> DataFrame:
+    """The open day against the days before it, each up to the same time of day, as ``volume_flags`` has it; one row.
+
+    An outage shows while the day still runs; a load that comes at its usual times does not, and a day without orders counts zero.
+    """
+    until = F.unix_seconds("ordered_at") % 86400 <= F.unix_seconds(now) % 86400
+    daily = daily_totals(raw_orders.filter((F.col("ordered_at") <= now) & until))
+    zero = F.lit(0).cast(TOTAL)
+    today = raw_orders.sparkSession.range(1).select(
+        day_of(now).alias("day"), F.lit(0).cast("bigint").alias("orders"), zero.alias("gross_revenue"), zero.alias("net_revenue")
+    )
+    summed = daily.unionByName(today).groupBy("day")
+    summed = summed.agg(F.sum("orders").alias("orders"), *[F.sum(name).cast(TOTAL).alias(name) for name in ("gross_revenue", "net_revenue")])
+    return volume_anomalies(on_every_day(summed), window_days, deviations).filter(F.col("day") == day_of(now))
+
+
 def margin_by_product(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Units, revenue and margin per product ordered; cost is the product's own."""
     sold = orders.groupBy("product_id").agg(

@@ -186,6 +186,19 @@ def test_even_load_raises_no_volume_warning(spark, hour):
     assert reports["orders: daily volume"] == 0
 
 
+@pytest.mark.parametrize(("hour", "warns"), [(12, 0), (14, 1), (23, 1)])
+def test_an_outage_at_noon_warns_while_the_day_runs(spark, hour, warns):
+    as_of = datetime(2026, 1, 15, hour, tzinfo=UTC)
+    minutes = F.lit(int(as_of.timestamp())) - F.col("id") * 600
+    orders = spark.range(40 * 144).select(F.timestamp_seconds(minutes).alias("ordered_at"), F.lit(Decimal("1.00")).alias("total_amount"), F.lit("placed").alias("status"))
+    orders = orders.filter(F.col("ordered_at") >= F.lit("2025-12-10").cast("timestamp"))
+    struck = orders.filter(F.col("ordered_at") <= F.lit("2026-01-15 12:00:00").cast("timestamp"))
+    reports = {row.check: row.failed_rows for row in gates.union_all(builds.timely_gates(struck, as_of)).collect()}
+    assert reports["orders: daily volume"] == warns
+    silent = orders.filter(F.col("ordered_at") < F.lit("2026-01-15").cast("timestamp"))
+    assert questions.volume_until_now(silent, utc(as_of)).first().flag == "drop"
+
+
 def test_accounting_holds_under_any_defects(spark, shop):
     tables = shop
     for key in ("negative_price", "missing_customer", "duplicate_order", "invalid_quantity", "volume_spike"):
