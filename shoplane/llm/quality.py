@@ -1,11 +1,17 @@
 """Quality rules with risk-controlled thresholds; DataFrame expressions only.
 
-The base rule is fixed. On top of it each rule of ``RULES`` rejects a text whose feature is above a cutoff, and the cutoffs are
-chosen per stratum (language) on a labelled holdout: the texts that have a label and pass the base rule. A cutoff is safe if
-the exact binomial bound on its false rejections (good texts it rejects) is at most ``risk / number of rules`` at confidence
-``1 - doubt / number of tests``, a test being one stratum, rule and cutoff: if k of n good texts are rejected, the chance of k or
-fewer at that risk must not exceed the share of ``doubt``. So with probability 1 - doubt all chosen cutoffs hold at once, and a
-stratum loses at most ``risk`` of its good texts. Of the safe cutoffs the lowest is used; without one the rule is not applied.
+The base rule is fixed. On top of it a text is rejected where any feature of ``RULES`` is above its cutoff, and the cutoffs are chosen
+per stratum (language) on a labelled holdout: the texts that have a label and pass the base rule. The cutoffs tried form one
+fixed sequence of levels, from loose to strict, each a cutoff for every rule; a level is tested as a whole, so the risk is that of
+all rules together. A level is safe if the exact binomial bound on its false rejections (good texts it rejects) is at most
+``risk``: if k of n good texts are rejected, the chance of k or fewer at that risk must not exceed the doubt. Levels are tested
+in their order until the first that is not safe, and the last safe one is used. As the order is fixed beforehand, no level but the first
+unsafe one can err, so the sequence needs no correction for its length; ``doubt`` is divided by the number of strata and one.
+So with probability 1 - doubt all strata at once lose at most ``risk`` of their good texts.
+
+A stratum with too few good texts for any level (fewer than ln(doubt share) / ln(1 - risk), with none rejected) takes the level of the
+pooled holdout of all strata, the one more test; the guarantee then is that of the corpus as a whole. A stratum without a label, and
+any where not even the first level is safe, has the base rule only.
 
 Null texts have no words. A null language is a stratum of its own. Labels that are null do not count, and ids whose labels
 disagree are left out. Repeated rows are judged alike; a repeated id counts in the holdout as often as it stands in the
@@ -26,14 +32,15 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
-#: Feature of a rule (an expression over the counts) and the cutoffs tried.
+#: Feature of a rule (an expression over the counts) and its cutoff at every level, from loose to strict.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
-    "symbol_share": ("n_symbols / greatest(word_chars, 1)", (0.01, 0.02, 0.05, 0.1, 0.2, 0.4)),
-    "repeat_share": ("n_repeat_words / greatest(n_words, 1)", (0.05, 0.1, 0.15, 0.2, 0.25)),
-    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", (0.1, 0.2, 0.3, 0.5, 0.7)),
-    "shout_share": ("n_shouts / greatest(n_words, 1)", (0.05, 0.1, 0.2, 0.4, 0.8)),
-    "word_length": ("word_chars / greatest(n_words, 1)", (8.0, 9.0, 10.0, 12.0, 16.0, 24.0)),
+    "symbol_share": ("n_symbols / greatest(word_chars, 1)", (0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.03, 0.02, 0.01)),
+    "repeat_share": ("n_repeat_words / greatest(n_words, 1)", (0.3, 0.29, 0.28, 0.27, 0.26, 0.25, 0.24, 0.22, 0.2, 0.18, 0.16, 0.14)),
+    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", (0.9, 0.8, 0.75, 0.7, 0.65, 0.6, 0.55, 0.5, 0.45, 0.4, 0.35, 0.3)),
+    "shout_share": ("n_shouts / greatest(n_words, 1)", (0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
+    "word_length": ("word_chars / greatest(n_words, 1)", (24.0, 20.0, 18.0, 16.0, 15.0, 14.0, 13.0, 12.0, 11.0, 10.0, 9.5, 9.0)),
 }
+LEVELS = 12
 RISK = 0.02
 DOUBT = 0.05
 
@@ -128,21 +135,33 @@ def _safe(n: str, k: str, risk: str, doubt: str) -> Column:
     return F.expr(f"case when {n} = 0 or {k} >= {n} * {risk} then false when {k} = 0 then {first} <= ln({doubt}) else {total} <= ln({doubt}) end")
 
 
+def _last_safe(n: str, k: str, risk: str, doubt: str) -> Column:
+    """The number of levels that are safe one after the other from the first; k of level L is in ``k`` + L."""
+    level = F.lit(LEVELS)
+    for place in reversed(range(LEVELS)):
+        level = F.when(~_safe(n, f"{k}{place}", risk, doubt), place).otherwise(level)
+    return level
+
+
 def cutoffs(holdout: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """Per stratum the lowest safe cutoff of each rule (null: none). ``holdout`` has stratum, good and the features."""
-    tries = [(name, value) for name, (_, values) in RULES.items() for value in values]
+    """Per stratum the level, and its cutoff of each rule (null at level 0: none). ``holdout`` has stratum, good and the features."""
     good = F.col("good")
-    counts = holdout.groupBy("stratum").agg(
-        F.count_if(good).alias("n"), *[F.count_if(good & (F.col(name) > value)).alias(f"k{at}") for at, (name, value) in enumerate(tries)]
-    )
-    strata = counts.agg(F.count("*").alias("strata"))
-    tests = counts.crossJoin(F.broadcast(strata)).withColumn("each", F.lit(doubt) / (F.col("strata") * len(tries)))  # one row of one number
-    tests = tests.withColumn("risk", F.lit(risk / len(RULES)))
-    chosen = []
-    for name in RULES:
-        safe = [F.when(_safe("n", f"k{at}", "risk", "each"), F.lit(value)) for at, (rule, value) in enumerate(tries) if rule == name]
-        chosen.append(F.coalesce(*safe).alias(f"cut_{name}"))  # cutoffs are tried from the lowest
-    return tests.select("stratum", *chosen)
+
+    def rejected(level: int) -> Column:
+        over = F.lit(False)
+        for name, (_, values) in RULES.items():
+            over = over | F.coalesce(F.col(name) > values[level], F.lit(False))
+        return over
+
+    counts = holdout.groupBy("stratum").agg(F.count_if(good).alias("n"), *[F.count_if(good & rejected(at)).alias(f"k{at}") for at in range(LEVELS)])
+    pooled = counts.agg(F.count("*").alias("strata"), F.coalesce(F.sum("n"), F.lit(0)).alias("pn"), *[F.coalesce(F.sum(f"k{at}"), F.lit(0)).alias(f"pk{at}") for at in range(LEVELS)])
+    share = F.lit(doubt) / (F.col("strata") + 1)
+    pooled = pooled.withColumn("each", share).withColumn("risk", F.lit(risk)).withColumn("pooled", _last_safe("pn", "pk", "risk", "each"))
+    tests = counts.crossJoin(F.broadcast(pooled.select("each", "risk", "pooled")))  # one row of three numbers
+    few = F.expr("n * ln(1 - risk) > ln(each)")
+    chosen = tests.select("stratum", F.when(few, F.col("pooled")).otherwise(_last_safe("n", "k", "risk", "each")).alias("level"))
+    picked = [F.get(F.array(*[F.lit(value) for value in values]), F.col("level") - 1).alias(f"cut_{name}") for name, (_, values) in RULES.items()]
+    return chosen.select("stratum", "level", *picked)
 
 
 def holdout_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -155,7 +174,7 @@ def holdout_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def judged(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     """``rows`` with kept."""
-    cut = rows.join(chosen.withColumnRenamed("stratum", "_stratum"), F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
+    cut = rows.join(chosen.drop("level").withColumnRenamed("stratum", "_stratum"), F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
     over = F.lit(False)
     for name in RULES:
         over = over | F.coalesce(F.col(name) > F.col(f"cut_{name}"), F.lit(False))

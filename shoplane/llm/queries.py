@@ -91,9 +91,9 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _cutoff_sql() -> str:
-    """The rules' cutoffs as SQL values: rule, expression's column, cutoff."""
-    return ", ".join(f"('{name}', {value})" for name, (_, values) in quality.RULES.items() for value in values)
+def _level_sql() -> str:
+    """The rules' cutoffs as SQL values: level, rule, cutoff."""
+    return ", ".join(f"({level}, '{name}', {value})" for name, (_, values) in quality.RULES.items() for level, value in enumerate(values, 1))
 
 
 QUALITY_SQL = f"""
@@ -123,20 +123,27 @@ with raw as (
     unnest([symbol_share, repeat_share, dup_line_share, shout_share, word_length]) as x from judged
 ), marks as (
   select doc_id, max(quality) = 1 as good from labels where quality is not null and doc_id is not null group by doc_id having min(quality) = max(quality)
-), tries(rule, cut) as (values {_cutoff_sql()}
-), strata as (
-  select count(*) as n from (select distinct stratum from judged join marks using (doc_id) where not base_failed)
+), levels(level, rule, cut) as (values {_level_sql()}
+), held as (select f.*, good from features f join marks using (doc_id) where not base_failed
+), per_text as (
+  select rid, stratum, level, bool_or(x > cut) as over from held join levels on held.rule = levels.rule where good group by all
+), strata as (select stratum, count(distinct rid) filter (where good) as n from held group by all
 ), tests as (
-  select f.stratum, t.rule, t.cut, count(*) filter (where good) as n, count(*) filter (where good and x > t.cut) as k
-  from features f join marks using (doc_id) join tries t on f.rule = t.rule where not base_failed group by all
-), bounds as (
-  select tests.*, {quality.RISK} / {len(quality.RULES)} as p, {quality.DOUBT} / (strata.n * (select count(*) from tries)) as d from tests, strata
-), safe as (
-  select stratum, rule, min(cut) as cut from bounds where n > 0 and k < n * p
-    and (select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(p) + (n - j) * ln(1 - p))) from unnest(generate_series(0, k)) s(j)) <= d
-  group by all
+  select strata.stratum, n, l.level, count(*) filter (where over) as k
+  from strata cross join (select distinct level from levels) l
+    left join per_text p on p.level = l.level and p.stratum is not distinct from strata.stratum group by all
+), counted as (select stratum, n, level, k from tests union all select '(all)', sum(n), level, sum(k) from tests group by level
+), each as (select {quality.DOUBT} / (count(*) + 1) as d from strata
+), judged_levels as (
+  select stratum, n, level, n > 0 and k < n * {quality.RISK} and (select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+    + j * ln({quality.RISK}) + (n - j) * ln(1 - {quality.RISK}))) from unnest(generate_series(0, cast(k as int))) s(j)) <= d as safe from counted, each
+), last as (
+  select stratum, any_value(n) as n, coalesce(min(level) filter (where not safe) - 1, max(level)) as level from judged_levels group by stratum
+), chosen as (
+  select stratum, case when n * ln(1 - {quality.RISK}) > ln(d) then (select level from last where stratum = '(all)') else level end as level
+  from last, each where stratum is distinct from '(all)'
 ), rejected as (
-  select distinct f.rid from features f join safe s on f.stratum is not distinct from s.stratum and f.rule = s.rule and f.x > s.cut
+  select distinct f.rid from features f join chosen s on f.stratum is not distinct from s.stratum join levels l on l.level = s.level and l.rule = f.rule and f.x > l.cut
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and rid not in (select rid from rejected) as kept

@@ -175,19 +175,59 @@ def test_binomial_bound(spark):
         assert row["safe"] == (row["n"] > 0 and chance(row["n"], row["k"], 0.004) <= 0.0004), row
 
 
-def test_cutoffs_hold_on_new_texts(spark):
-    """The lowest safe cutoff is chosen per stratum; strata with few labels get none."""
+HOLDOUT = "stratum string, good boolean, symbol_share double, repeat_share double, dup_line_share double, shout_share double, word_length double"
+
+
+def plain_level(rows, doubt_share, risk=quality.RISK):
+    """Levels that are safe one after the other, by plain sums of binomial probabilities."""
+    good = [row for row in rows if row[1]]
+    n = len(good)
+    for level in range(quality.LEVELS):
+        k = sum(any(value > cuts[level] for value, (_, cuts) in zip(row[2:], quality.RULES.values(), strict=True)) for row in good)
+        chance = sum(math.comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1))
+        if not n or k >= n * risk or chance > doubt_share:
+            return level
+    return quality.LEVELS
+
+
+def test_levels_are_tested_in_order_and_small_strata_are_pooled(spark):
     draw = random.Random(6)
     rows = []
-    for i in range(9000):
-        good = draw.random() < 0.7
-        share = draw.random() * (0.03 if good else 0.5)
-        rows.append(("big" if i % 9 else None, good, share, 0.0, 0.0, 0.0, 5.0))
-    holdout = spark.createDataFrame(rows, "stratum string, good boolean, symbol_share double, repeat_share double, dup_line_share double, shout_share double, word_length double")
-    chosen = {r["stratum"]: r for r in quality.cutoffs(holdout).collect()}
-    assert chosen["big"]["cut_symbol_share"] == 0.05 and chosen["big"]["cut_repeat_share"] == 0.05
-    assert chosen[None]["cut_symbol_share"] is None
-    assert quality.cutoffs(holdout.limit(0)).count() == 0
+    for stratum, n, wide in (("clean", 400, 0.001), ("loose", 900, 0.11), ("wild", 600, 0.9), ("few", 60, 0.05), (None, 300, 0.001)):
+        for _ in range(n):
+            good = draw.random() < 0.8
+            rows.append((stratum, good, draw.random() * (wide if good else 0.5), draw.random() * 0.2, 0.0, 0.0, 5.0 + draw.random()))
+    rows += [("none good", False, 0.3, 0.0, 0.0, 0.0, 5.0)]
+    found = {row["stratum"]: row for row in quality.cutoffs(spark.createDataFrame(rows, HOLDOUT)).collect()}
+    share = quality.DOUBT / 7
+    for stratum in ("clean", "loose", "wild", None):
+        assert found[stratum]["level"] == plain_level([row for row in rows if row[0] == stratum], share)
+    assert found["wild"]["level"] == 0 and found["wild"]["cut_symbol_share"] is None
+    assert found["few"]["level"] == found["none good"]["level"] == plain_level(rows, share)
+    assert found["clean"]["cut_symbol_share"] == quality.RULES["symbol_share"][1][found["clean"]["level"] - 1]
+    assert quality.cutoffs(spark.createDataFrame([], HOLDOUT)).count() == 0
+
+
+def test_false_rejection_stays_within_the_risk_on_new_texts(spark):
+    """300 holdouts from one distribution: the chosen level loses more than the risk of new texts in at most the doubt's share."""
+    strata, doubt = 300, 0.1
+    draw = random.Random(9)
+    cuts = quality.RULES["symbol_share"][1]
+    # a good text's share of symbols is above the cut of level L with a chance that crosses the risk between levels 5 and 6
+    above = {level: 0.004 * level for level in range(1, quality.LEVELS + 1)}
+
+    def share():
+        u = draw.random()
+        for level in range(1, quality.LEVELS + 1):
+            if u < above[level]:
+                return cuts[level - 1] + 1e-6
+        return 0.0
+
+    rows = [(f"s{stratum}", True, share(), 0.0, 0.0, 0.0, 5.0) for stratum in range(strata) for _ in range(400)]
+    chosen = quality.cutoffs(spark.createDataFrame(rows, HOLDOUT), doubt=doubt * (strata + 1)).collect()  # each stratum at the whole doubt
+    losing = sum(row["level"] > 0 and above[row["level"]] > quality.RISK for row in chosen)
+    assert losing <= doubt * strata + 3 * (strata * doubt * (1 - doubt)) ** 0.5
+    assert sum(row["level"] >= 2 for row in chosen) > 0.5 * strata
 
 
 def test_keep_good_drops_rejected_rows_only(spark, odd, empty, no_labels):
@@ -206,3 +246,4 @@ def test_quality_query_has_no_python(spark):
 def test_quality_equals_its_sql(spark):
     name = "op9_risk_controlled_quality"
     assert compare(spark, MIDDLE, entry_point.queries()[name], entry_point.oracle_sql()[name]) is None
+    assert queries.op9_risk_controlled_quality(spark, MIDDLE).filter("not kept and not base_failed").count() > 20
