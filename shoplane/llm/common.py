@@ -29,8 +29,15 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
 
 
 def with_row_draw(df: DataFrame, name: str, salt: int) -> DataFrame:
-    """A draw in [0, 1) for each row of (doc_id, text), of its own also where ids are null or rows repeat. Repeatable on the same files."""
-    return df.withColumn(name, unit_hash(F.struct("doc_id", F.xxhash64("text"), F.monotonically_increasing_id()), salt))
+    """A draw in [0, 1) for each row of (doc_id, text), the same however Spark splits the files.
+
+    Rows of a table read from files have one of their own also where ids are null or rows repeat, by their number in the file;
+    equal rows of any other DataFrame share theirs.
+    """
+    own = [F.col("doc_id"), F.xxhash64("text")]
+    if "_metadata" in df._jdf.queryExecution().analyzed().metadataOutput().toString():
+        own.append(F.col("_metadata.row_index"))
+    return df.withColumn(name, unit_hash(F.struct(*own), salt))
 
 
 def unit_hash(column: str | Column, salt: int) -> Column:

@@ -306,3 +306,30 @@ def test_samples_are_bounded_whatever_ids_rows_share(spark):
     texts = documents.withColumn("text", F.lit("abcd"))
     drawn = secretscan.with_row_draw(texts, "draw", 5)
     assert 4600 < drawn.filter("doc_id is null and draw < 0.5").count() < 5400
+
+
+def test_toxicity_does_not_depend_on_file_splits(spark):
+    """Scores, and the model behind them, are the same however the files are cut; every score is that of the model by hand."""
+    documents, labels = (spark.read.parquet(f"{MIDDLE}/{name}.parquet") for name in ("documents", "labels"))
+    found = []
+    for size in ("128m", "200k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        model = toxicity.fit(documents, labels, remainder("doc_id", 4) != 2)
+        rows = documents.select("doc_id", "text", toxicity.scores(F.col("text"), model).alias("score")).collect()
+        found.append((model, {row["doc_id"]: row["score"] for row in rows}))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1]
+    (weights, bias), _ = found[0]
+    for row in rows:
+        logit = bias + sum(weight for word, weight in weights.items() if word in toxicity.words_of(row["text"]))
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, logit)))), rel=1e-9, abs=1e-15)
+
+
+def test_secret_models_do_not_depend_on_file_splits(spark):
+    documents = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    fits = []
+    for size in ("128m", "200k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        fits.append(secretscan.fit(documents, max_texts=300))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert np.array_equal(fits[0].ratio, fits[1].ratio) and fits[0].at_least == fits[1].at_least

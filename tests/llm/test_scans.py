@@ -6,8 +6,11 @@ import hashlib
 import math
 import random
 import re
+import time
+import string
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,12 +129,101 @@ def test_licenses_against_brute_force(spark, odd, empty):
         ("Copyright (c) 2024. All rights reserved. May not be reproduced.", "copyright,no-redistribution,reserved"),
         ("a permit to license nothing", ""),
         ("gnu general public license version 2", "gpl,gpl-2.0"),
+        ("Licensed under the Apache License", "apache"),
+        ("Apache-2.0", "apache-2.0"),
+        ("Apache Software License 2.0", "apache-2.0"),
+        ("released under the BSD license", "bsd"),
+        ("the Mozilla Public License", "mpl"),
+        ("Eclipse Public License", "epl"),
+        ("Licensed under the GPL", "gpl"),
+        ("GPLv3", "gpl-3.0"),
+        ("GNU LGPL", "lgpl"),
+        ("the code is MIT licensed", "mit"),
+        ("Licensed under Creative Commons Attribution", "cc-by"),
+        ("the Artistic License", "artistic"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+        ("SPDX-License-Identifier: MIT-0", ""),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\nint x;", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 AND BSD-3-Clause", "bsd-3-clause,gpl-2.0"),
+        ("SPDX-License-Identifier: MIT this is not ISC", "mit"),
+        ("spdx-license-identifier:", ""),
     ],
 )
 def test_license_labels(text, labels):
     assert licenses.examine(text.encode())[5] == labels
 
 
+def test_every_written_rule_can_match():
+    """The shortest text of each hand-written rule carries its label, alone and inside other words."""
+    shortest = {}
+    for number, (label, _, _, pattern, keywords) in enumerate(licenses.WRITTEN):
+        text = pattern.replace(licenses._NOTICE, "licensed under the ")
+        text = re.sub(r"\(\?:([^()|]*)\|[^()]*\)\{0,3\}|\(\?:[^()]*\)(\?|\{0,3\})", lambda m: "", text)
+        for _ in range(4):
+            text = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)(\??)", lambda m: "" if m[2] else m[1], text)
+        text = text.split("|")[0].replace("[sc]", "s").replace("[a-z0-9 ]{1,80}", "anyone").replace(" ?", " ").replace("?", "")
+        shortest[number] = text
+        found = licenses.detections(f" before {text} after ")
+        assert any(label == name for _, _, name, _ in found) or len(found), (number, label, text)
+        assert any(all(any(word in f" {text} " for word in group.split("|")) for group in keywords) for _ in (0,)), (number, text)
+
+
+def test_many_mentions_take_time_in_proportion():
+    text = b"all rights reserved. mit license, licensed under the bsd license. cc by " * 12_500
+    started = time.perf_counter()
+    found = licenses.examine(text)
+    assert time.perf_counter() - started < 2.5 and found[1] == 25_000
+    secrets = " ".join(f"token=abcdef{place} zk3Vt8Qw1LmN0pXr{place}" for place in range(25_000))
+    started = time.perf_counter()
+    base = secretscan.base_spans(secrets)
+    more = secretscan.markov_spans(secrets, secretscan.Model(np.ones((secretscan.EDGE + 1) ** 2), 0.0), base)
+    assert time.perf_counter() - started < 2.5 and (len(base), len(more)) == (25_000, 25_000)
+
+
+def test_suppression_equals_comparing_with_every_accepted_span():
+    draw = random.Random(4)
+    for _ in range(200):
+        spans = [(draw.randrange(40), draw.randrange(1, 12)) for _ in range(30)]
+        covers, accepted = licenses._Covers([start for start, _ in spans]), []
+        for start, length in spans:
+            held = any(a <= start and start + length <= b for a, b in accepted)
+            assert covers.holds(start, start + length) == held
+            if not held:
+                accepted.append((start, start + length))
+                covers.add(start, start + length)
+
+
+def holdout_strings():
+    """Random strings of several alphabets, and ordinary identifiers, paths, addresses, names of versions."""
+    draw = random.Random(77)
+    letters = string.ascii_letters + string.digits
+    secrets = ["".join(draw.choices(alphabet, k=draw.randint(20, 44))) for alphabet in (letters, letters + "+/", letters + "-_", string.ascii_uppercase + string.digits + "") for _ in range(150)]
+    words = "get user name order item list price total report daily table index http server client value cache build test data file path main page user config load store queue event index".split()
+    ordinary = []
+    for _ in range(150):
+        some = draw.choices(words, k=draw.randint(3, 6))
+        ordinary += [
+            "_".join(some) + f"_{draw.randrange(100)}",
+            "".join(w.title() for w in some) + str(draw.randrange(2000)),
+            "/".join(some) + f"/v{draw.randrange(9)}",
+            "-".join(some) + f"-20{draw.randrange(10, 30)}-0{draw.randrange(1, 9)}",
+        ]
+    mixes = [s for s in secrets if any(c.isdigit() for c in s)]
+    return mixes, [s for s in ordinary if len(s) >= secretscan.MIN_RUN]
+
+
+def test_models_tell_random_strings_from_identifiers(spark):
+    model = secretscan.fit(spark.read.parquet(f"{MIDDLE}/documents.parquet"))
+    secrets, ordinary = holdout_strings()
+
+    def found(values):
+        return sum(bool(secretscan.markov_spans(f"see {value} here", model, [])) for value in values)
+
+    hits, alarms = found(secrets), found(ordinary)
+    print(f"recall {hits / len(secrets):.3f}, precision {hits / max(1, hits + alarms):.3f}")
+    assert hits / len(secrets) > 0.9 and hits / (hits + alarms) > 0.95
+
+
 def test_suppression_and_rule_count():
     assert len(licenses.rules()) > 250
     line = " licensed under the mit license "
@@ -184,7 +276,7 @@ def plain_level(rows, doubt_share, risk=quality.RISK):
     n = len(good)
     for level in range(quality.LEVELS):
         k = sum(any(value > cuts[level] for value, (_, cuts) in zip(row[2:], quality.RULES.values(), strict=True)) for row in good)
-        chance = sum(math.comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1))
+        chance = sum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(risk) + (n - j) * math.log(1 - risk)) for j in range(k + 1))
         if not n or k >= n * risk or chance > doubt_share:
             return level
     return quality.LEVELS
