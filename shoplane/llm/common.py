@@ -29,15 +29,14 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
 
 
 def with_row_draw(df: DataFrame, name: str, salt: int) -> DataFrame:
-    """A draw in [0, 1) for each row of (doc_id, text), the same however Spark splits the files.
+    """A draw in [0, 1) for each row of (doc_id, text), of its own also where ids are null or rows repeat.
 
-    Rows of a table read from files have one of their own also where ids are null or rows repeat, by their number in the file;
-    equal rows of any other DataFrame share theirs.
+    A row of a table read from files is known by its number in the file, so its draw is the same however Spark splits the files;
+    a row of any other DataFrame by its place in its partition.
     """
-    own = [F.col("doc_id"), F.xxhash64("text")]
-    if "_metadata" in df._jdf.queryExecution().analyzed().metadataOutput().toString():
-        own.append(F.col("_metadata.row_index"))
-    return df.withColumn(name, unit_hash(F.struct(*own), salt))
+    read = "_metadata" in df._jdf.queryExecution().analyzed().metadataOutput().toString()
+    place = F.col("_metadata.row_index") if read else F.monotonically_increasing_id()
+    return df.withColumn(name, unit_hash(F.struct("doc_id", F.xxhash64("text"), place), salt))
 
 
 def unit_hash(column: str | Column, salt: int) -> Column:
