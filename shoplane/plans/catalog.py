@@ -687,6 +687,12 @@ def synced_fct_orders(spark, folder):
     return refresh.read_mart(_synced(spark, folder), refresh.FACTS)
 
 
+@query
+def synced_revenue_cuts(spark, folder):
+    """Question 1, all cuts, from the refreshed fact table."""
+    return questions.revenue_cuts(refresh.read_mart(_synced(spark, folder), refresh.FACTS))
+
+
 @query
 def synced_daily_revenue(spark, folder):
     return refresh.read_mart(_synced(spark, folder), refresh.DAILY)

@@ -710,6 +710,10 @@ SQL = {
         partition by customer_id, product_id, ordered_at order by order_id) = 1) group by 1""",
     "synced_orders": f"select {ORDER_COLUMNS} from y_orders",
     "synced_fct_orders": f"with {SYNCED_FACTS} {FACT_COLUMNS}",
+    "synced_revenue_cuts": f"with {SYNCED_FACTS} "
+    + " union all ".join(
+        [_cut("day", _day("ordered_at"))] + [_cut(name, name) for name in ("category", "segment", "country")]
+    ),
     "synced_daily_revenue": f"""select {_day('ordered_at')} as day, {REVENUE},
         {_cents('sum(total_amount)', 'count(*)')} as aov from y_kept group by 1""",
     "stream_freshness": f"""select 0 as batch_id, 'orders' as table_name, {_moment('max(ordered_at)')} as newest_at,
