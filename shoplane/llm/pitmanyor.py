@@ -3,8 +3,7 @@
 Every training word is a context with a restaurant of its own (what follows that word); all share one parent restaurant, which
 also serves the first token of a text and every token after an unknown word; the parent's base is uniform over the training
 vocabulary and one unknown word. With ``n_contexts`` only the commonest words are contexts (a smaller model, kept per word in
-arrays). Otherwise all is kept in rows of (context, word), of a word and of a context, and joined by key; a pair that occurs
-once has one table always, so sweeps run over the other pairs only. A dish is a word, a table of a context is a customer of the parent.
+arrays). Otherwise ``pairmodel`` keeps it by pair. A dish is a word, a table of a context is a customer of the parent.
 
 Seating is sampled by Gibbs: a sweep draws the number of tables t of every (restaurant, dish) with c customers anew, all its customers at
 once, by inverse transform from S(c, t) * prod over j < t of (strength + discount * (other tables + j)) * (parent's probability of the
@@ -16,7 +15,7 @@ contexts are drawn side by side, then the parent from its new customers, and the
 
 Everything learnt is a table that grows with the corpus. (context, word) pairs with at least 1 / ``FREQUENT`` of the training
 tokens, by that bound at most ``FREQUENT`` (with ``n_contexts`` also such words), are broadcast for scoring; all others are
-looked up by joins. Tokens are words between the contract's white space, A-Z lowered, and one end per text.
+looked up by key. Tokens are words between the contract's white space, A-Z lowered, and one end per text.
 
 Null texts are empty (one end token). A null id counts as the empty text for the fold. Repeated rows are texts of their own.
 An empty table gives no rows; with no training text every token is unknown. Other columns are ignored.
@@ -351,187 +350,12 @@ def discount(n1: int, n2: int) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
-START = b""  # what the first word of a text follows; never a word
-
-
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """u, w, c: how often each word follows each."""
-
-    def count(batches):
-        def rows():
-            arrays = [pa.array([u for u, _ in pairs], pa.binary()), pa.array([w for _, w in pairs], pa.binary()), pa.array(pairs.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["u", "w", "n"])
-
-        pairs: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = tokens(text)
-                pairs.update(zip([START, *words], words, strict=False))
-                if len(pairs) > FLUSH:
-                    yield rows()
-                    pairs = Counter()
-        yield rows()
-
-    return texts.mapInArrow(count, "u binary, w binary, n long").groupBy("u", "w").agg(F.sum("n").alias("c"))
-
-
-def _tables(rows: DataFrame, name: str, totals: Totals, key: tuple, at_context: bool) -> DataFrame:
-    """``rows`` with their tables ``name`` drawn anew: of contexts' dishes (c, t, tu, c0, t0) or of the parent's (c0, t0). ``key``: salt and columns."""
-    drawn = rows.withColumn("_draw", F.pmod(F.xxhash64(*key), F.lit(1 << 52)) / float(1 << 52))  # repeatable however rows are dealt
-    fields = [field for field in rows.schema if field.name != name]
-
-    def run(batches):
-        d0, d1 = totals.discounts
-        s0, s1 = totals.strengths
-        for batch in batches:
-            of = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in ("c0", "t0", "_draw", *(("c", "t", "tu") if at_context else ()))}
-            if at_context:
-                rise = at_parent_without(of["c0"], of["t0"], of["t"], totals)
-                found = draw_tables(of["c"], s1 + d1 * (of["tu"] - of["t"]), d1, of["_draw"], rise)
-            else:
-                found = draw_tables(of["c0"], s0 + d0 * (totals.tables[-1] - of["t0"]), d0, of["_draw"], 1 / (totals.vocabulary + 1))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(found, pa.int64())], names=[*[f.name for f in fields], name])
-
-    return drawn.mapInArrow(run, ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in fields], f"{name} bigint"]))
-
-
-class PairModel:
-    """A fitted model of all contexts: pairs (u, w, c, cw, pu: probability of w after u), words (w, cw, ps: parent probability per sample),
-    contexts (u, cu, back: share that goes to the parent, per sample). ``sweeps`` has the totals of all sweeps: the parent's
-    customers, which are the contexts' tables and the first words, and its tables."""
-
-    def __init__(self, pairs: DataFrame, words: DataFrame, contexts: DataFrame, samples: list[Totals], sweeps: list[Totals], n_tokens: int):
-        self.pairs, self.words, self.contexts, self.samples, self.sweeps = pairs, words, contexts, samples, sweeps
-        self.n_tokens, self.vocabulary = n_tokens, samples[0].vocabulary
-
-    def unknown(self) -> list[float]:
-        return [float(total.parent(np.zeros(1), np.zeros(1))[0]) for total in self.samples]
-
-
-def fit_pairs(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -> PairModel:
-    pairs = stored(pair_counts(_texts(documents)), "lm-pairs")
-    follows, zero, one, nothing = F.col("u") != START, F.lit(0).cast("long"), F.lit(1).cast("long"), F.array().cast("array<bigint>")
-    fixed = F.coalesce(F.sum(F.when(~follows, F.col("c"))), zero) + F.count_if(follows & (F.col("c") == 1))  # customers at the parent that stay
-    words = pairs.groupBy("w").agg(F.sum("c").alias("cw"), fixed.alias("fixed"), F.count_if(follows & (F.col("c") > 1)).alias("more"))
-    words = stored(words.select("w", "cw", "fixed", (F.col("fixed") + F.col("more")).alias("c0"), one.alias("t0"), nothing.alias("c0s"), nothing.alias("t0s")), "lm-words")
-    contexts = pairs.filter(follows).groupBy("u").agg(F.sum("c").alias("cu"), F.count_if(F.col("c") == 1).alias("once"), F.count("*").alias("tu"))
-    contexts = stored(contexts.withColumn("tus", nothing), "lm-contexts")
-    many = pairs.filter(follows & (F.col("c") > 1)).select("u", "w", "c", one.alias("t"), nothing.alias("ts"))
-    n = words.agg(F.count("*").alias("v"), F.sum("cw").alias("n"), F.count_if(F.col("cw") == 1).alias("n1"), F.count_if(F.col("cw") == 2).alias("n2"), F.sum("c0").alias("c0")).first()
-    m = pairs.filter(follows).agg(F.count_if(F.col("c") == 1).alias("m1"), F.count_if(F.col("c") == 2).alias("m2")).first()
-    discounts = (discount(n["n1"], n["n2"]), discount(m["m1"], m["m2"]))
-    totals = Totals(np.array([n["c0"] or 0]), np.array([n["v"]]), n["v"], discounts, strengths)
-    every = []
-    for number in range(sweeps):
-        def kept(frame, number=number, **arrays):
-            return frame.withColumns({name: F.concat(name, F.array(value)) for name, value in arrays.items()}) if number >= burn_in else frame
-
-        joined = many.join(words.select("w", "c0", "t0"), "w").join(contexts.select("u", "tu"), "u")
-        many = _tables(joined, "t", totals, (F.lit(seed), F.lit(number), "u", "w"), True).drop("c0", "t0", "tu")
-        many = stored(kept(many, ts="t"), "lm-seating")
-        sent = many.groupBy("w").agg(F.sum("t").alias("sent"))
-        moved = words.join(sent, "w", "left").withColumn("c0", F.col("fixed") + F.coalesce("sent", zero)).drop("sent")
-        words = stored(kept(_tables(moved, "t0", totals, (F.lit(seed), F.lit(number), "w"), False), c0s="c0", t0s="t0"), "lm-words")
-        sent = many.groupBy("u").agg(F.sum("t").alias("sent"))
-        contexts = contexts.join(sent, "u", "left").withColumn("tu", F.col("once") + F.coalesce("sent", zero)).drop("sent")
-        contexts = stored(kept(contexts, tus="tu"), "lm-contexts")
-        row = words.agg(F.sum("c0").alias("c"), F.sum("t0").alias("t")).first()
-        totals = Totals(np.array([row["c"] or 0]), np.array([row["t"] or 0]), n["v"], discounts, strengths)
-        every.append(totals)
-    samples = every[burn_in:]
-    parents = []
-    for at, total in enumerate(samples):
-        base = (strengths[0] + discounts[0] * float(total.tables[-1])) / (n["v"] + 1)
-        own = F.greatest(F.col("c0s")[at] - discounts[0] * F.col("t0s")[at], F.lit(0.0))
-        parents.append((own + base) / (strengths[0] + float(total.customers[-1])))
-    words = words.select("w", "cw", F.array(*parents).alias("ps"))
-    backs = [(strengths[1] + discounts[1] * F.col("tus")[at]) / (strengths[1] + F.col("cu")) for at in range(len(samples))]
-    contexts = contexts.select("u", "cu", F.array(*backs).alias("back"))
-    single = pairs.filter(~follows | (F.col("c") == 1)).select("u", "w", "c", F.array_repeat(one, len(samples)).alias("ts"))
-    joined = many.select("u", "w", "c", "ts").unionByName(single).join(words, "w").join(contexts, "u", "left")  # no context: first words
-    after = [F.greatest(F.col("c") - discounts[1] * F.col("ts")[at], F.lit(0.0)) / (strengths[1] + F.col("cu")) + F.col("back")[at] * F.col("ps")[at] for at in range(len(samples))]
-    mean = sum((F.coalesce(p, F.col("ps")[at]) for at, p in enumerate(after)), F.lit(0.0)) / len(samples)
-    found = stored(joined.select("u", "w", "c", "cw", mean.alias("pu")), "lm-probabilities")
-    return PairModel(found, words, contexts, samples, every, n["n"] or 0)
-
-
-def score_pairs(documents: DataFrame, model: PairModel) -> DataFrame:
-    """As ``score``, for a model of all contexts."""
-    least = max(1, -(-model.n_tokens // FREQUENT))
-    divisor = math.log10(model.n_tokens + model.vocabulary + 1)
-    often = {}
-    for row in model.pairs.filter(F.col("c") >= least).toLocalIterator():  # bounded by FREQUENT
-        often[bytes(row["u"]), bytes(row["w"])] = (math.log10(row["cw"] + 1) - divisor, math.log10(row["pu"]))
-    shared = documents.sparkSession.sparkContext.broadcast(often)
-    fields = "uid long, doc_id long, n_tokens long, n_known long, base double, part double, u binary, w binary, n long"
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.int64()]
-    names = [field.split()[0] for field in fields.split(", ")]
-
-    def look(batches):
-        often = shared.value
-        uid = TaskContext.get().partitionId() << 40
-        out: list[tuple] = []
-
-        def flush():
-            columns = zip(*out, strict=True)
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-            out.clear()
-            return made
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = tokens(text)
-                known, base, part = 0, 0.0, 0.0
-                for pair, n in Counter(zip([START, *words], words, strict=False)).items():
-                    found = often.get(pair)
-                    if found:
-                        known += n
-                        base += n * found[0]
-                        part += n * found[1]
-                    else:
-                        out.append((uid, None, 0, 0, 0.0, 0.0, *pair, n))
-                own = b"\n%d" % uid  # a key of its own, met by no word
-                out.append((uid, doc_id, len(words), known, base, part, own, own, 0))
-                uid += 1
-                if len(out) > 100_000:
-                    yield flush()
-        if out:
-            yield flush()
-
-    given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    looked = given.mapInArrow(look, fields).join(model.pairs.select("u", "w", "cw", "pu"), ["u", "w"], "left")
-    hit, missing = F.col("pu").isNotNull(), F.col("pu").isNull() & (F.col("n") > 0)
-
-    def added(rows, cw, p, when):
-        return rows.select(
-            "uid",
-            "doc_id",
-            "n_tokens",
-            (F.col("n_known") + F.when(when & (cw > 0), F.col("n")).otherwise(0)).alias("n_known"),
-            (F.col("base") + F.when(when, F.col("n") * (F.log10(cw + 1) - divisor)).otherwise(0.0)).alias("base"),
-            (F.col("part") + F.when(when, F.col("n") * F.log10(p)).otherwise(0.0)).alias("part"),
-            *[F.when(missing, F.col(name)).alias(name) for name in ("u", "w", "n") if "pu" in rows.columns],
-        )
-
-    looked = stored(added(looked, F.col("cw"), F.col("pu"), hit), "lm-looked")
-    rest = looked.filter(F.col("w").isNotNull()).join(model.words, "w", "left").join(model.contexts.select("u", "back"), "u", "left")
-    ps, back = F.coalesce("ps", F.array(*[F.lit(p) for p in model.unknown()])), F.coalesce("back", F.array_repeat(F.lit(1.0), len(model.samples)))
-    mean = sum((ps[at] * back[at] for at in range(len(model.samples))), F.lit(0.0)) / len(model.samples)
-    rest = added(rest, F.coalesce("cw", F.lit(0)), mean, F.lit(True))
-    return (
-        looked.filter(F.col("w").isNull())
-        .drop("u", "w", "n")
-        .unionByName(rest)
-        .groupBy("uid")
-        .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("part").alias("score"))
-        .drop("uid")
-    )
-
-
-def fit(documents: DataFrame, n_contexts: int | None = None, sweeps: int = 4, burn_in: int = 2, strengths=(1.0, 1.0), seed: int = 10) -> Model | PairModel:
+def fit(documents: DataFrame, n_contexts: int | None = None, sweeps: int = 4, burn_in: int = 2, strengths=(1.0, 1.0), seed: int = 10):
     """Learn from whole texts of ``documents``; ``sweeps - burn_in`` samples are kept."""
     if n_contexts is None:
-        return fit_pairs(documents, sweeps, burn_in, strengths, seed)
+        from shoplane.llm import pairmodel
+
+        return pairmodel.fit(documents, sweeps, burn_in, strengths, seed)
     texts = _texts(documents)
     contexts = common_words(texts, n_contexts)
     state = stored(word_counts(texts, contexts), "lm-counts")
@@ -586,10 +410,12 @@ def predictive(state: DataFrame, samples: list[tuple[int, Totals]]) -> DataFrame
     return state.mapInArrow(run, "word binary, c long, ps array<double>, us array<int>, cs array<bigint>, pu array<double>")
 
 
-def score(documents: DataFrame, model: Model | PairModel) -> DataFrame:
+def score(documents: DataFrame, model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every document."""
-    if isinstance(model, PairModel):
-        return score_pairs(documents, model)
+    if not isinstance(model, Model):
+        from shoplane.llm import pairmodel
+
+        return pairmodel.score(documents, model)
     spark = documents.sparkSession
     total, least = model.n_tokens, max(1, -(-model.n_tokens // FREQUENT))
     divisor = math.log10(total + model.vocabulary + 1)

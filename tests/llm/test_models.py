@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoplane.llm import mixing, pitmanyor, queries, secretscan, toxicity
+from shoplane.llm import mixing, pairmodel, pitmanyor, queries, secretscan, toxicity
 from shoplane.llm.common import remainder
 
 from corpus_cases import MIDDLE, SMALL, TESTDATA, empty, no_labels, odd  # noqa: F401
@@ -254,19 +254,26 @@ def test_totals_settle_over_sweeps(spark):
     assert abs(np.array(common["t0"]) - common["t15"]).min() > 12  # three moves of four customers each, at most, were made before
 
 
-def test_every_word_is_a_context(spark, monkeypatch):
-    """Probabilities after a rare word and after a common one add up, and scores are those of the tables token by token."""
+@pytest.mark.parametrize("dense, chunk, part", [(1 << 20, 1_000_000, 3_000_000), (300, 2000, 4000), (1, 500, 900)])
+def test_every_word_is_a_context(spark, monkeypatch, dense, chunk, part):
+    """Probabilities after a rare word and after a common one add up, and scores are those of the tables token by token, whichever
+    words are broadcast and however texts are cut and pairs dealt."""
+    for name, value in (("DENSE", dense), ("CHUNK", chunk), ("PART", part)):
+        monkeypatch.setattr(pairmodel, name, value)
     documents = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id < 60")
     train = documents.filter("doc_id % 7 <> 2")
     model = pitmanyor.fit(train)
+    number, start = model.numbers.__getitem__, 0
     counts = Counter()
     for row in train.collect():
-        words = pitmanyor.tokens((row["text"] or "").encode())
-        counts.update(zip([pitmanyor.START, *words], words))
-    pairs = {(bytes(r["u"]), bytes(r["w"])): r for r in model.pairs.collect()}
+        words = list(map(number, pitmanyor.tokens((row["text"] or "").encode())))
+        counts.update(zip([start, *words], words))
+    pairs = {(r["u"], r["w"]): r for r in model.pairs.collect()}
     assert {pair: r["c"] for pair, r in pairs.items()} == counts
-    words, contexts = ({bytes(r[0]): r for r in frame.collect()} for frame in (model.words, model.contexts))
-    assert contexts.keys() == {u for u, _ in counts} - {pitmanyor.START}
+    words, contexts = ({r[0]: r for r in frame.collect()} for frame in (model.words, model.contexts))
+    assert (min(words) < pairmodel.RARE) == (dense > 1) and (max(words) < pairmodel.RARE) == (dense == 1 << 20)
+    assert {w: r["cw"] for w, r in words.items()} == Counter(w for (_, w), n in counts.items() for _ in range(n))
+    assert contexts.keys() == {u for u, _ in counts} - {start}
     unknown = np.array(model.unknown())
     assert np.allclose(np.sum([r["ps"] for r in words.values()], axis=0) + unknown, 1)
     for u in sorted(contexts, key=lambda u: contexts[u]["cu"])[:: max(1, len(contexts) // 9)]:
@@ -275,15 +282,33 @@ def test_every_word_is_a_context(spark, monkeypatch):
         assert math.isclose(sum(r["pu"] for pair, r in pairs.items() if pair[0] == u) + rest, 1, abs_tol=1e-9)
     for frequent in (1 << 18, 40):
         monkeypatch.setattr(pitmanyor, "FREQUENT", frequent)
-        got = {r["doc_id"]: r["score"] for r in pitmanyor.score(documents, model).collect()}
+        got = {r["doc_id"]: r for r in pitmanyor.score(documents, model).collect()}
         for row in documents.collect():
-            total, before = 0.0, pitmanyor.START
-            for word in pitmanyor.tokens((row["text"] or "").encode()):
+            total, base, known, before = 0.0, 0.0, 0, start
+            own = list(map(number, pitmanyor.tokens((row["text"] or "").encode())))
+            for word in own:
                 ps = np.array(words[word]["ps"]) if word in words else unknown
                 back = np.array(contexts[before]["back"]) if before in contexts else np.ones(len(unknown))
                 total += math.log10(pairs[before, word]["pu"] if (before, word) in pairs else np.mean(ps * back))
+                c = words[word]["cw"] if word in words else 0
+                known, base = known + (c > 0), base + math.log10((c + 1) / (model.n_tokens + model.vocabulary + 1))
                 before = word
-            assert math.isclose(got[row["doc_id"]], total, rel_tol=1e-9)
+            found = got[row["doc_id"]]
+            assert math.isclose(found["score"], total, rel_tol=1e-9) and math.isclose(found["base_score"], base, rel_tol=1e-9)
+            assert (found["n_tokens"], found["n_known"]) == (len(own), known)
+
+
+def test_model_does_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    """Counts, and so the start of all restaurants, are the same; draws go by a word's number, so totals differ by chance only."""
+    documents = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    found = []
+    for dense in (1 << 20, 200):
+        monkeypatch.setattr(pairmodel, "DENSE", dense)
+        model = pitmanyor.fit(documents)
+        row = model.words.agg(F.sum("cw"), F.count("*")).first()
+        found.append((row, model.samples[-1].discounts, [int(model.sweeps[-1].customers[0]), int(model.sweeps[-1].tables[0])]))
+    assert found[0][:2] == found[1][:2]
+    assert np.allclose(found[0][2], found[1][2], rtol=0.02)
 
 
 def test_common_words_count_every_run(spark):
