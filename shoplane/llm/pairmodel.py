@@ -33,7 +33,7 @@ from shoplane.llm.common import stored
 from shoplane.llm.pitmanyor import Totals, at_parent_without, discount, draw_tables, tokens
 from shoplane.session import scratch_path
 
-DENSE = 1 << 20
+DENSE = 1 << 21
 CHUNK = 1_000_000
 PART = 3_000_000
 RARE = 1 << 62  # numbers from here on are hashes
@@ -164,6 +164,30 @@ def margins(pairs: DataFrame) -> DataFrame:
     return rows.groupBy("context", "id").agg(*[F.sum(x).alias(x) for x in ("n", "once", "twice", "more")])
 
 
+def sent(many: DataFrame) -> DataFrame:
+    """context, id, sent: the tables of each word over its contexts, and of each context over its words."""
+
+    def run(batches):
+        def rows(found):
+            t = np.concatenate([x[2] for x in found])
+            for at in (0, 1):
+                distinct, place = np.unique(np.concatenate([x[at] for x in found]), return_inverse=True)
+                sums = np.bincount(place, t, len(distinct)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), at == 1)), pa.array(distinct), pa.array(sums)], names=["context", "id", "sent"])
+
+        found, n = [], 0
+        for batch in batches:
+            found.append([batch.column(x).to_numpy() for x in ("w", "u", "t")])
+            n += batch.num_rows
+            if n > pitmanyor.FLUSH:
+                yield from rows(found)
+                found, n = [], 0
+        if found:
+            yield from rows(found)
+
+    return many.select("u", "w", "t").mapInArrow(run, "context boolean, id long, sent long").groupBy("context", "id").agg(F.sum("sent").alias("sent"))
+
+
 def _array(rows: DataFrame, key: str, name: str, size: int) -> np.ndarray:
     """``name`` of dense words by number; at most ``DENSE`` rows."""
     found = rows.filter(F.col(key) < RARE).select(key, name).toPandas()
@@ -242,8 +266,10 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
     counts = keep("counts", word_counts(texts))
     n = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("cw"), F.lit(0)).alias("n"), F.count_if(F.col("cw") == 1).alias("n1"), F.count_if(F.col("cw") == 2).alias("n2")).first()
     least = max(1, -(-n["n"] // DENSE))
-    often = sorted(((row["cw"], bytes(row["word"])) for row in counts.filter(F.col("cw") >= least).collect()), key=lambda x: (-x[0], x[1]))  # bounded by DENSE
+    often = counts.filter(F.col("cw") >= least).toPandas()  # bounded by DENSE
+    often = sorted(zip((-often["cw"]).tolist(), often["word"].map(bytes), strict=True))
     numbers, size = Numbers((word, at + 1) for at, (_, word) in enumerate(often)), len(often) + 1
+    del often
     delete("counts")
     shared, parts = spark.sparkContext.broadcast(numbers), max(1, -(-n["n"] // PART))
     pairs = keep("pairs", pair_blocks(texts, shared, parts))
@@ -271,11 +297,11 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
         far = _drawn(far, "t", totals, key, True).select("u", "w", "c", "ts", "t")
         here = _drawn(many.filter(near), "t", totals, key, True, dense).select("u", "w", "c", "ts", "t")
         many = keep("seating", kept(here.unionByName(far), ts="t"))
-        sent = many.groupBy("w").agg(F.sum("t").alias("sent"))
-        moved = words.join(sent, "w", "left").withColumn("c0", F.col("fixed") + F.coalesce("sent", F.lit(0))).drop("sent")
+        each = keep("sent", sent(many))
+        moved = words.join(each.filter(~F.col("context")).select(F.col("id").alias("w"), "sent"), "w", "left").withColumn("c0", F.col("fixed") + F.coalesce("sent", F.lit(0))).drop("sent")
         words = keep("words", kept(_drawn(moved, "t0", totals, (F.lit(seed), F.lit(number), "w"), False), c0s="c0", t0s="t0"))
-        sent = many.groupBy("u").agg(F.sum("t").alias("sent"))
-        contexts = keep("contexts", kept(contexts.join(sent, "u", "left").withColumn("tu", F.col("once") + F.coalesce("sent", F.lit(0))).drop("sent"), tus="tu"))
+        gone = each.filter("context").select(F.col("id").alias("u"), "sent")
+        contexts = keep("contexts", kept(contexts.join(gone, "u", "left").withColumn("tu", F.col("once") + F.coalesce("sent", F.lit(0))).drop("sent"), tus="tu"))
         row = words.agg(F.coalesce(F.sum("c0"), F.lit(0)).alias("c"), F.coalesce(F.sum("t0"), F.lit(0)).alias("t")).first()
         totals = Totals(np.array([row["c"] + m["alone"]]), np.array([row["t"] + m["alone"]]), n["v"], discounts, strengths)
         every.append(totals)
@@ -288,7 +314,7 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
     every_word = every_word.select(F.col("id").alias("w"), F.col("n").alias("cw")).join(words.select("w", "c0s", "t0s"), "w", "left")
     every_context = every_context.select(F.col("id").alias("u"), F.col("n").alias("cu"), F.col("once").alias("single")).join(contexts.select("u", "tus"), "u", "left")
     found = keep("parent", every_word.select("w", "cw", F.array(*parents).alias("ps"))), keep("back", every_context.select("u", "cu", F.array(*backs).alias("back")))
-    for name in ("margins", "words", "contexts"):
+    for name in ("margins", "words", "contexts", "sent"):
         delete(name)
     return PairModel(numbers, parts, pairs, many.select("u", "w", "c", "ts"), *found, samples, every, n["n"])
 

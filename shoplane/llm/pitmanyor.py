@@ -206,7 +206,7 @@ def log_stirling(c: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
 def draw_tables(c: np.ndarray, theta: np.ndarray, discount: float, draw: np.ndarray, rise=None) -> np.ndarray:
     """Tables of dishes with ``c`` customers from their full conditional, S(c, t) times, for each table j = 1 to t - 1 after the first,
     (theta + j * discount) * the parent's probability: (a + j) / (b + j) with ``rise`` = (a, b), else b if that is one number."""
-    out = np.array(c, np.int64)
+    out, c = np.array(c, np.int64), np.asarray(c)
     theta = np.maximum(theta, 1e-9)
     constant = None if isinstance(rise, tuple) else float(rise)
     a, b = (None, None) if constant else rise
@@ -215,9 +215,12 @@ def draw_tables(c: np.ndarray, theta: np.ndarray, discount: float, draw: np.ndar
         parent = np.log(constant) if constant else np.log((a[at] + j) / (b[at] + j))
         return np.log(theta[at] + j * discount) + parent
 
-    low = 1
-    for high in (2, 4, 8, 16, 32, 64, TABLE):
-        cells = np.flatnonzero((out > low) & (out <= high))
+    two = np.flatnonzero(out == 2)
+    second = (theta[two] + discount) * (constant or (a[two] + 1) / (b[two] + 1))
+    out[two] = 1 + (1 - discount < draw[two] * (1 - discount + second))
+    low = 2
+    for high in (4, 8, 16, 32, 64, TABLE):
+        cells = np.flatnonzero((c > low) & (c <= high))
         low = high
         for part in np.array_split(cells, -(-len(cells) * high // GRID)) if len(cells) else []:
             weight = log_table(discount)[c[part], 1 : high + 1]
