@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,6 +92,16 @@ def removed_by_dedup(
     return orders.join(firsts, F.col(key) == F.col("_first"), "left_anti")
 
 
+def later_copies(orders: DataFrame, natural_key: Sequence[str] = NATURAL_KEY, key: str = "order_id") -> DataFrame:
+    """Ids of the orders ``deduplicate`` leaves out, from the natural keys that occur more than once; order ids must be unique.
+
+    Only natural keys and ids are grouped; rows are neither sorted nor sent unless they are copies.
+    """
+    repeated = orders.groupBy(*[F.col(name).alias(f"_{name}") for name in natural_key]).agg(F.min(key).alias("_first"), F.count("*").alias("_rows"))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in natural_key]
+    return orders.join(repeated.filter("_rows > 1"), reduce(and_, same)).filter(F.col(key) != F.col("_first")).select(key)
+
+
 def customer_column(orders: DataFrame) -> str:
     """The name of the customer column: ``customer_id``, or ``user_id`` after drift."""
     for name in ("customer_id", "user_id"):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shoplane.contracts import DOMAINS, NATURAL_KEY, PRIMARY_KEYS, TABLES
 from shoplane.functions.scalars import utc
 from shoplane.operators import gates
-from shoplane.operators.staging import deduplicate, quarantine, row_rules, stage
+from shoplane.operators.staging import later_copies, quarantine, row_rules, stage
 from shoplane.plans import marts
 from shoplane.sources import keyed
 from shoplane.sources.tables import Lake
@@ -111,7 +111,8 @@ def _rebuild(lake: Lake, spans: list[date], as_of: datetime, domains, strict: bo
     paid, _ = quarantine(payments, row_rules("payments", domains.get("payments", {})))
     people, _ = quarantine(customers, row_rules("customers", domains.get("customers", {})))
     goods, _ = quarantine(products, row_rules("products", domains.get("products", {})))
-    kept = deduplicate(good)
+    copies = lake.open(lake.write(later_copies(good), "removed_copies"))  # read by the gates and by the facts; landing keeps order ids unique
+    kept = good.join(copies, "order_id", "left_anti")
     judged = span_gates(orders.drop("cast_errors"), payments.drop("cast_errors"), customers, products, kept, domains)
     unplaced = [keyed.current(lake, table, [keyed.NO_SPAN]) for table in ("payments", "orders")]
     judged = judged.unionByName(gates.reference_gate(*unplaced, "payments", "order_id"))

@@ -11,6 +11,7 @@ index last. A batch that is run again reads its log, whatever of it had been don
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
@@ -52,7 +53,7 @@ def once(lake: Lake, log: str, batch_id: int, make: Callable[[], DataFrame]) ->
     before = logged(lake, log, batch_id)
     if before is not None and not before.isEmpty():
         return before
-    lake.overwrite_days(make().withColumn("batch_id", F.lit(batch_id).cast("bigint")), log, "batch_id")
+    lake.overwrite_days(make().withColumn("batch_id", F.lit(batch_id).cast("bigint")), log, "batch_id", balance=False)
     now = logged(lake, log, batch_id)
     return None if now is None or now.isEmpty() else now
 
@@ -70,17 +71,16 @@ def forget(lake: Lake, log: str, upto: int) -> int:
 def replace(lake: Lake, log: str, rows: DataFrame, partition: str, touched: Iterable, read: DataFrame | None) -> None:
     """Make ``rows`` the whole content of the ``touched`` partitions, those without rows included.
 
-    ``read`` is what ``rows`` were made from, if anything; only partitions it had can be left over.
+    ``read`` is what ``rows`` were made from, if anything: rows of the same log. A touched partition that got no rows still has its old
+    files after the write and is dropped; so ``rows`` are computed once.
     """
-    touched = list(touched)
-    left = set()
-    if read is not None:
-        had = {row[0] for row in read.select(partition).distinct().collect()}  # one value per partition touched
-        left = had.intersection(touched)
-        if left:
-            left -= {row[0] for row in rows.filter(F.col(partition).isin(*left)).select(partition).distinct().collect()}
+    before = set() if read is None else set(read.inputFiles())
     lake.overwrite_days(rows, log, partition)
-    lake.drop_partitions(log, partition, left)
+    if before:
+        kept = lake.read_log(log)
+        still = before.intersection(kept.inputFiles()) if kept is not None else ()
+        left = {value for path in still for value in re.findall(rf"/{re.escape(partition)}=([^/]*)/", path)[-1:]}
+        lake.drop_partitions(log, partition, [value for value in touched if str(value) in left])
 
 
 def values(frame: DataFrame, *columns: str) -> list:
@@ -126,12 +126,16 @@ def change_log(table: str) -> str:
 def accepted(batch: DataFrame, key: str, known: DataFrame | None, found: Mapping[str, tuple[Column, str]]) -> DataFrame:
     """The newest change per key of a batch that is not older than what is known of it.
 
-    Of changes with one sequence number the greatest row counts, so that a repeat gives the same. ``found`` adds columns of
+    Of changes with one sequence number the greatest row counts, so that a repeat gives the same. Only keys sent more than once are
+    grouped with their rows. ``found`` adds columns of
     ``known`` as (column, type), NULL for new keys.
     """
     others = [name for name in batch.columns if name not in (key, "seq")]
-    newest = batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct("seq", *others)).alias("_row"))
-    latest = newest.select(key, "_row.*").select(*batch.columns)
+    rows = batch.filter(F.col(key).isNotNull())
+    repeated = rows.groupBy(key).agg(F.count("*").alias("_rows")).filter("_rows > 1").select(key)
+    newest = rows.join(repeated, key, "left_semi").groupBy(key).agg(F.max(F.struct("seq", *others)).alias("_row"))
+    once_sent = rows.join(repeated, key, "left_anti").select(*batch.columns)
+    latest = once_sent.unionByName(newest.select(key, "_row.*").select(*batch.columns))
     if known is None:
         return latest.withColumns({name: F.lit(None).cast(kind) for name, (_, kind) in found.items()})
     here = known.select(F.col(key).alias("_key"), F.col("seq").alias("_seq"), *[column.alias(name) for name, (column, _) in found.items()])
@@ -185,7 +189,7 @@ def land_payments(lake: Lake, batch: DataFrame, batch_id: int) -> DataFrame | No
 
     def make() -> DataFrame:
         changes = accepted(batch, key, index.find(batch), {"old_span": (F.col("span"), "date")})
-        places = orders.find(changes, "order_id")
+        places = orders.find(batch, "order_id")
         if places is None:
             return changes.withColumn("new_span", F.when(F.col("op") != DELETE, F.lit(NO_SPAN)))
         placed = changes.join(places.select(F.col("order_id").alias("_order"), F.col("span").alias("_span")), F.col("order_id") == F.col("_order"), "left")

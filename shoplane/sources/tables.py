@@ -149,9 +149,12 @@ class Lake:
         writer = df.write.mode("append")
         (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(self.log_path(log))
 
-    def overwrite_days(self, df: DataFrame, log: str, *partition_by: str) -> None:
-        """Replace exactly the partitions ``df`` has rows for; repeating a write leaves the same rows."""
-        balanced = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    def overwrite_days(self, df: DataFrame, log: str, *partition_by: str, balance: bool = True) -> None:
+        """Replace exactly the partitions ``df`` has rows for; repeating a write leaves the same rows.
+
+        Without ``balance`` every task writes the rows it has, without a shuffle: for rows of a single partition.
+        """
+        balanced = df.hint("rebalance", *[F.col(name) for name in partition_by]) if balance else df
         balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(
             self.log_path(log)
         )

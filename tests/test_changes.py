@@ -293,3 +293,32 @@ def test_a_log_is_read_by_batch_and_forgotten_on_request(spark):
     assert keyed.forget(lake, keyed.change_log("orders"), refresh.marks(lake)["orders"]) == 4
     keyed.land(lake, "orders", changes(spark, "orders", [order(1, MARCH)], 9), 4)
     assert [str(span) for span in refresh.refresh(lake, AS_OF, strict=False).spans] == ["2026-01-05", "2026-03-05"]
+
+
+def test_replacing_partitions_computes_their_rows_once(spark):
+    lake, seen = new_lake(spark), spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def placed(number):
+        seen.add(1)
+        return number % 2
+
+    keyed.replace(lake, "parts", spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "id int, part int"), "part", [0, 1, 2], None)
+    read = lake.read_log("parts").filter("part < 2")
+    keyed.replace(lake, "parts", spark.range(4).select("id", placed(F.col("id") * 2).alias("part")), "part", [0, 1], read)
+    assert seen.value == 4
+    assert sorted(map(tuple, lake.read_log("parts").select("id", "part").collect())) == [(0, 0), (1, 0), (2, 0), (3, 0), (3, 2)]
+
+
+def test_rows_of_keys_sent_once_are_not_grouped(spark):
+    batch = changes(spark, "customers", [customer(key) for key in range(5)], 1).unionByName(changes(spark, "customers", [customer(2, name="Bo")], 2))
+    latest = keyed.accepted(batch, "customer_id", None, {})
+    assert [(row.customer_id, row.full_name) for row in latest.orderBy("customer_id").collect()] == [(0, "Ada"), (1, "Ada"), (2, "Bo"), (3, "Ada"), (4, "Ada")]
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Union" in plan
+
+
+def test_a_batch_is_logged_without_a_shuffle(spark):
+    lake, batch = new_lake(spark), spark.range(100).repartition(4)
+    assert keyed.once(lake, "numbers", 3, lambda: batch).count() == 100
+    assert len(lake.read_log("numbers").inputFiles()) == 4

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import datetime
+from datetime import UTC, datetime
 from decimal import Decimal
 
 import numpy as np
@@ -235,3 +235,11 @@ def test_draws_are_even_and_independent(spark):
     assert chi < 160  # 99 degrees of freedom
     large = spark.range(2**40, 2**40 + 1000).select(scalars.draw(1, "a", F.col("id")).alias("d"))
     assert large.distinct().count() == 1000
+
+
+def test_later_copies_are_what_deduplication_takes_out(spark):
+    moment = datetime(2026, 1, 5, tzinfo=UTC)
+    rows = [(1, 1, 1, moment), (2, 1, 1, moment), (3, None, 1, moment), (4, None, 1, moment), (5, None, 1, None), (6, 1, None, moment), (7, 1, 1, moment)]
+    orders = spark.createDataFrame(rows, "order_id long, customer_id long, product_id long, ordered_at timestamp")
+    taken = sorted(row[0] for row in staging.later_copies(orders).collect())
+    assert taken == [2, 4, 7] == sorted({row[0] for row in rows} - {row.order_id for row in staging.deduplicate(orders).collect()})
