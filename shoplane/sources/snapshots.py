@@ -11,6 +11,7 @@ whose checksum is behind still differs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,18 @@ def leaves(rows: DataFrame, key: str, part: int = PART, leaf: int = LEAF) -> Dat
     """part, leaf, n, low, high of every range of ``leaf`` keys that has rows; which columns are NULL is hashed as well."""
     columns = sorted(rows.columns)
     values = [*[F.col(name) for name in columns], *[F.col(name).isNull() for name in columns]]
-    sums = [F.sum(F.xxhash64(F.lit(salt), *values).cast(SUM)).cast(SUM).alias(name) for salt, name in ((0, "low"), (1, "high"))]
-    return rows.groupBy(_range(key, part).alias("part"), _range(key, leaf).alias("leaf")).agg(F.count("*").alias("n"), *sums)
+    hashed = rows.select(
+        _range(key, part).alias("part"),
+        _range(key, leaf).alias("leaf"),
+        *[F.xxhash64(F.lit(salt), *values).alias(name) for salt, name in ((0, "low"), (1, "high"))],
+    )
+    return hashed.groupBy("part", "leaf").agg(F.count("*").alias("n"), *[_sum_of(name).alias(name) for name in ("low", "high")])
+
+
+def _sum_of(name: str) -> Column:
+    """The exact sum of 64-bit numbers: their upper and lower halves are added up as longs, without a decimal per row."""
+    upper, lower = F.sum(F.shiftright(name, 32)), F.sum(F.col(name).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (upper.cast("decimal(20,0)") * F.lit(Decimal(1 << 32)) + lower).cast(SUM)
 
 
 def rolled_up(tree: DataFrame, *level: str) -> DataFrame:

@@ -94,3 +94,13 @@ def test_levels_add_up(spark):
     tree = leaves(table(spark), "id", 100, 10)
     assert tree.count() == 100 and rolled_up(tree, "part").count() == 10
     assert rolled_up(rolled_up(tree, "part")).first() == rolled_up(tree).first()
+
+
+def test_checksums_are_exact_sums_without_a_decimal_per_row(spark):
+    rows = spark.range(300).select("id", F.col("id").cast("string").alias("name"))
+    tree = leaves(rows, "id", 300, 100)
+    plain = [F.xxhash64(F.lit(salt), F.col("id"), F.col("name"), F.col("id").isNull(), F.col("name").isNull()) for salt in (0, 1)]
+    hashes = rows.select("id", *plain).collect()
+    expected = {leaf: tuple(sum(row[at] for row in hashes if row[0] // 100 == leaf) for at in (1, 2)) for leaf in range(3)}
+    assert {row.leaf: (int(row.low), int(row.high)) for row in tree.collect()} == expected
+    assert "cast(xxhash64" not in tree._jdf.queryExecution().optimizedPlan().toString()
