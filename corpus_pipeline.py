@@ -31,9 +31,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path(), capacity=4096, end_id=1)
+    return packing.pack_documents(docs, tokenizer_path(), capacity=4096, end_id=1, cache_words=CACHE_WORDS)
 
 
+#: Words an encoder keeps: its worker stays beside the stages of a run that follows, whose texts need the memory.
+CACHE_WORDS = 200_000
+
 STAGES = [
     ("quality rules", keep_good),
     ("simhash near-dedup", drop_near_copies),

@@ -23,19 +23,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shoplane.llm.common import stored
-from shoplane.llm.tokens import encoder
+from shoplane.llm.tokens import CACHE_WORDS, encoder
 
 PER_BUCKET = 2000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
-    """The pieces of every document; ``with_ids`` adds their ids as an array."""
+def pieces(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """The pieces of every document; ``with_ids`` adds their ids as an array. ``cache_words`` bounds what a worker keeps, not the result."""
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def cut(batches):
         end = int(end_id).to_bytes(4, "little")
-        encode = encoder(path).encode
+        encode = encoder(path, cache_words).encode
         for batch in batches:
             ids, columns = batch.column(0).to_pylist(), [[], [], [], [], [], []]
             texts = batch.column(1)
@@ -155,5 +155,5 @@ def sequences(placed: DataFrame) -> DataFrame:
     return placed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
 
 
-def pack_documents(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    return pack(stored(pieces(documents, path, capacity, end_id), "pieces"), capacity)
+def pack_documents(documents: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, cache_words: int = CACHE_WORDS) -> DataFrame:
+    return pack(stored(pieces(documents, path, capacity, end_id, cache_words=cache_words), "pieces"), capacity)

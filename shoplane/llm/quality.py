@@ -167,18 +167,18 @@ def cutoffs(holdout: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> Dat
 def holdout_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows with one agreed label that pass the base rule; ``rows`` has doc_id, stratum and the features."""
     marks = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id")
-    marks = marks.agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high")
-    marks = marks.select(F.col("doc_id").cast("long").alias("_id"), (F.col("high") == 1).alias("good"))
-    return rows.join(marks, F.col("doc_id") == F.col("_id")).filter("not base_failed")
+    marks = marks.agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
+    marks = marks.select(F.col("doc_id").cast("long").alias("_id"), (F.col("high") == 1).alias("good"), (F.col("low") != F.col("high")).alias("_mixed"))
+    held = rows.join(marks, F.col("doc_id") == F.col("_id"))
+    return held.filter(~F.greatest("base_failed", "_mixed")).drop("_mixed")  # one condition on both sides: see ``judged``
 
 
 def judged(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``rows`` with kept."""
+    """``rows`` with kept. It is one condition on both sides of the join: a part that needs the rows only would be
+    moved below the join as a filter of its own, which counts every text once more."""
     cut = rows.join(chosen.drop("level").withColumnRenamed("stratum", "_stratum"), F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
-    over = F.lit(False)
-    for name in RULES:
-        over = over | F.coalesce(F.col(name) > F.col(f"cut_{name}"), F.lit(False))
-    return cut.withColumn("kept", ~F.col("base_failed") & ~over).select(*rows.columns, "kept")
+    over = [F.coalesce(F.col(name) > F.col(f"cut_{name}"), F.lit(False)) for name in RULES]
+    return cut.withColumn("kept", ~F.greatest("base_failed", *over)).select(*rows.columns, "kept")
 
 
 def _stratum(lang: Column) -> Column:

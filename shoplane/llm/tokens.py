@@ -85,6 +85,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker; Spark reuses workers, so the cache outlives a task."""
-    return WordEncoder(path)
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> WordEncoder:
+    """One encoder per Python worker; Spark reuses workers, so the cache outlives a task, and a job: an idle worker keeps its memory."""
+    return WordEncoder(path, cache_words)
