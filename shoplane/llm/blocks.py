@@ -31,7 +31,8 @@ def unpack_all(blocks, types: str) -> list[np.ndarray]:
 
 def runs(labels: np.ndarray):
     """(label, places) of each distinct label; places keep their order."""
-    order = np.argsort(labels, kind="stable")
+    few = len(labels) and labels.min() >= 0 and labels.max() < 1 << 16
+    order = np.argsort(labels.astype(np.uint16) if few else labels, kind="stable")  # 16 bits are sorted by radix
     if not len(order):
         return
     starts = np.flatnonzero(np.concatenate([[True], np.diff(labels[order]) != 0]))

@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -30,12 +32,13 @@ from pyspark.sql import functions as F
 from shoplane.llm import pitmanyor
 from shoplane.llm.blocks import pack, runs, unpack, unpack_all
 from shoplane.llm.common import stored
-from shoplane.llm.pitmanyor import Totals, at_parent_without, discount, draw_tables, tokens
+from shoplane.llm.pitmanyor import END, Totals, at_parent_without, discount, draw_tables
 from shoplane.session import scratch_path
 
 DENSE = 1 << 21
 CHUNK = 1_000_000
 PART = 3_000_000
+SLICE = 1 << 22
 RARE = 1 << 62  # numbers from here on are hashes
 BLOCKS = "part int, chunk long, kind int, block binary"
 #: Kinds of blocks: texts, pairs to score, pairs learnt, their tables, words and contexts that are not dense, sums, sums without their context.
@@ -49,28 +52,79 @@ class Numbers(dict):
         return RARE | xxhash.xxh64_intdigest(word) >> 2
 
 
+def coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of binary ``texts`` as ``tokens`` has them, without the end: distinct words, each token's place among them, tokens of each text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, sizes = split.flatten(), pc.list_value_length(split).to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at an end of a text leaves an empty word there
+    if not full.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+        words = words.filter(pa.array(full))
+    found = words.dictionary_encode()
+    return found.dictionary.view(pa.binary()), found.indices.to_numpy(), sizes
+
+
+def slices(batch: pa.RecordBatch):
+    """Parts of a batch of about ``SLICE`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // SLICE, prepend=0)) + 1
+    for start, stop in pairwise(np.unique(np.concatenate([[0], cuts, [batch.num_rows]])).tolist()):
+        yield batch.slice(start, stop - start)
+
+
 def chunks(batches, numbers: Numbers, most: int):
     """(ids, tokens of each text, numbers of all words with 0 before each text); a text alone may be longer than a chunk."""
-    ids, sizes, found = [], [], []
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        given = batch.column("doc_id").to_pylist() if "doc_id" in batch.schema.names else [None] * len(texts)
-        for doc_id, text in zip(given, texts, strict=True):
-            words = tokens(text)
-            if found and len(found) + len(words) > most:
-                yield ids, np.array(sizes), np.array(found, np.int64)
-                ids, sizes, found = [], [], []
-            ids.append(doc_id)
-            sizes.append(len(words))
-            found.append(0)
-            found.extend(map(numbers.__getitem__, words))
+    ids, sizes, found, n = [], [], [], 0
+
+    def chunk():
+        return ids, np.concatenate(sizes), np.concatenate(found)
+
+    for part in (part for batch in batches for part in slices(batch)):
+        words, codes, each = coded(part.column("text"))
+        given = part.column("doc_id").to_pylist() if "doc_id" in part.schema.names else [None] * part.num_rows
+        each = each.astype(np.int64) + 1  # with the end
+        starts = np.concatenate([[0], np.cumsum(each + 1)])  # with the 0 before each text
+        row, word = np.empty(starts[-1], np.int64), np.ones(starts[-1], bool)
+        row[starts[:-1]], row[starts[1:] - 1] = 0, numbers[END]
+        word[starts[:-1]] = word[starts[1:] - 1] = False
+        row[word] = np.fromiter(map(numbers.__getitem__, words.to_pylist()), np.int64, len(words))[codes]
+        at = 0
+        while at < len(each):
+            stop = int(np.searchsorted(starts[1:] - 1, most - n + starts[at], "right"))
+            stop = max(stop, at if n else at + 1)
+            ids += given[at:stop]
+            sizes.append(each[at:stop])
+            found.append(row[starts[at] : starts[stop]])
+            n += int(starts[stop] - starts[at])
+            at = stop
+            if at < len(each):
+                yield chunk()
+                ids, sizes, found, n = [], [], [], 0
     if ids:
-        yield ids, np.array(sizes), np.array(found, np.int64)
+        yield chunk()
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place of each value among them."""
+    place, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], rank[place]
+
+
+def _places(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct u and w in order, and a key of each pair in the order of (u, w); a part's pairs are many, so few copies are held."""
+    ws, place = _distinct(w)
+    us, key = _distinct(u)
+    key *= max(1, len(ws))
+    key += place
+    return us, ws, key
 
 
 def counted(numbers: np.ndarray, text: np.ndarray | None = None):
     """u, w, text and count of the distinct pairs of a chunk, in order of (u, w)."""
-    distinct, place = np.unique(numbers, return_inverse=True)
+    distinct, place = _distinct(numbers)
     follows = np.flatnonzero(numbers[1:] != 0)
     key, texts = place[follows] * len(distinct) + place[follows + 1], 1 if text is None else int(text[-1]) + 1
     key, c = np.unique(key if text is None else key * texts + text, return_counts=True)
@@ -99,12 +153,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"])
 
         found: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(tokens(text))
-                if len(found) > pitmanyor.FLUSH:
-                    yield rows()
-                    found = Counter()
+        for part in (part for batch in batches for part in slices(batch)):
+            words, codes, _ = coded(part.column("text"))
+            found[END] += part.num_rows
+            for word, n in zip(words.to_pylist(), np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+                found[word] += n
+            if len(found) > pitmanyor.FLUSH:
+                yield rows()
+                found = Counter()
         yield rows()
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("cw"))
@@ -121,9 +177,13 @@ def pair_blocks(texts: DataFrame, numbers, parts: int) -> DataFrame:
 
     def merge(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         u, w, c = unpack_all(blocks["block"], "iii")
-        order = np.lexsort((w, u))
-        u, w, c = u[order], w[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(w) != 0)]))
+        us, ws, pair = _places(u, w)
+        del u, w
+        order = np.argsort(pair)
+        pair, c = pair[order], c[order]
+        del order
+        first = np.flatnonzero(np.diff(pair, prepend=-1))
+        u, w = us[pair // len(ws)], ws[pair % len(ws)]
         return pd.DataFrame({"part": [key[0]], "chunk": [0], "kind": [PAIRS], "block": [pack(u[first], w[first], np.add.reduceat(c, first))]})
 
     return texts.mapInArrow(count, BLOCKS).groupBy("part").applyInPandas(merge, BLOCKS)
@@ -152,7 +212,7 @@ def margins(pairs: DataFrame) -> DataFrame:
                 start = u == 0
                 for context, ids, here in ((False, w, ~start), (True, u[~start], np.ones((~start).sum(), bool))):
                     count = c if not context else c[~start]
-                    distinct, at = np.unique(ids, return_inverse=True)
+                    distinct, at = _distinct(ids)
                     sums = [count, here & (count == 1), here & (count == 2), here & (count > 1)]
                     sums = [np.bincount(at, x, len(distinct)).astype(np.int64) for x in sums]
                     if not context:
@@ -171,7 +231,7 @@ def sent(many: DataFrame) -> DataFrame:
         def rows(found):
             t = np.concatenate([x[2] for x in found])
             for at in (0, 1):
-                distinct, place = np.unique(np.concatenate([x[at] for x in found]), return_inverse=True)
+                distinct, place = _distinct(np.concatenate([x[at] for x in found]))
                 sums = np.bincount(place, t, len(distinct)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), at == 1)), pa.array(distinct), pa.array(sums)], names=["context", "id", "sent"])
 
@@ -188,13 +248,18 @@ def sent(many: DataFrame) -> DataFrame:
     return many.select("u", "w", "t").mapInArrow(run, "context boolean, id long, sent long").groupBy("context", "id").agg(F.sum("sent").alias("sent"))
 
 
+def _lists(column: pa.ChunkedArray, rows: int) -> np.ndarray:
+    """A column of lists of equal length, a row each."""
+    return pc.list_flatten(column).to_numpy().reshape(rows, -1) if rows else np.zeros(0)
+
+
 def _array(rows: DataFrame, key: str, name: str, size: int) -> np.ndarray:
     """``name`` of dense words by number; at most ``DENSE`` rows."""
-    found = rows.filter(F.col(key) < RARE).select(key, name).toPandas()
-    values = np.array(found[name].tolist(), np.float64) if name in ("ps", "back") else found[name].to_numpy(np.int64)
+    found = rows.filter(F.col(key) < RARE).select(key, name).toArrow()
+    at, values = found.column(key).to_numpy(), found.column(name)
+    values = _lists(values, len(at)) if pa.types.is_list(values.type) else values.to_numpy()
     out = np.zeros((size, *values.shape[1:]), values.dtype)
-    if len(found):
-        out[found[key].to_numpy()] = values
+    out[at] = values
     return out
 
 
@@ -266,9 +331,9 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
     counts = keep("counts", word_counts(texts))
     n = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("cw"), F.lit(0)).alias("n"), F.count_if(F.col("cw") == 1).alias("n1"), F.count_if(F.col("cw") == 2).alias("n2")).first()
     least = max(1, -(-n["n"] // DENSE))
-    often = counts.filter(F.col("cw") >= least).toPandas()  # bounded by DENSE
-    often = sorted(zip((-often["cw"]).tolist(), often["word"].map(bytes), strict=True))
-    numbers, size = Numbers((word, at + 1) for at, (_, word) in enumerate(often)), len(often) + 1
+    often = counts.filter(F.col("cw") >= least).toArrow()  # bounded by DENSE
+    often = often.sort_by([("cw", "descending"), ("word", "ascending")]).column("word").to_pylist()
+    numbers, size = Numbers((word, at + 1) for at, word in enumerate(often)), len(often) + 1
     del often
     delete("counts")
     shared, parts = spark.sparkContext.broadcast(numbers), max(1, -(-n["n"] // PART))
@@ -352,12 +417,12 @@ def _sorted(columns: list[np.ndarray]) -> list[np.ndarray]:
 def _frequent(model: PairModel, least: int, ps: np.ndarray, cu: np.ndarray, back: np.ndarray):
     """Keys of the pairs of dense words seen ``least`` times or more, in order, and the logarithms of their probabilities; bounded by FREQUENT."""
     d, s = model.samples[0].discounts[1], model.samples[0].strengths[1]
-    first = pair_rows(model.blocks, lambda u, w, c: (u == 0) & (c >= least) & (w < RARE)).toPandas()
-    rows = model.many.filter((F.col("c") >= least) & (F.col("u") < RARE) & (F.col("w") < RARE)).toPandas()
-    u, w, c = (rows[x].to_numpy(np.int64) for x in ("u", "w", "c"))
-    ts = np.array(rows["ts"].tolist(), np.float64).reshape(len(rows), len(model.samples))
+    first = pair_rows(model.blocks, lambda u, w, c: (u == 0) & (c >= least) & (w < RARE)).select("w").toArrow()
+    rows = model.many.filter((F.col("c") >= least) & (F.col("u") < RARE) & (F.col("w") < RARE)).toArrow()
+    u, w, c = (rows.column(x).to_numpy() for x in ("u", "w", "c"))
+    ts = _lists(rows.column("ts"), len(u)).reshape(len(u), len(model.samples))
     p = (np.maximum(c[:, None] - d * ts, 0) / (s + cu[u])[:, None] + back[u] * ps[w]).mean(axis=1)
-    w0 = first["w"].to_numpy(np.int64)
+    w0 = first.column("w").to_numpy()
     keys, logs = np.concatenate([w0, (u << 31) + w]), np.log10(np.concatenate([ps[w0].mean(axis=1), p]))
     return _sorted([keys, logs])
 
@@ -407,8 +472,7 @@ def score(documents: DataFrame, model: PairModel) -> DataFrame:
         asked, out = blocks[blocks["kind"] == ASKED], []
         passed = blocks[blocks["kind"] == TEXTS]
         pu, pw, pc = of_kind(blocks, PAIRS, "iii")
-        us, ws = np.unique(pu), np.unique(pw)
-        pairs = np.searchsorted(us, pu) * max(1, len(ws)) + np.searchsorted(ws, pw)  # in order, as the block is
+        us, ws, pairs = _places(pu, pw)  # in order, as the block is
         pt = np.ones((len(pairs), samples))
         del pu, pw
         tu, tw, *ts = of_kind(blocks, TABLES, "ii" + "i" * samples)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,6 +312,22 @@ def test_model_does_not_depend_on_what_is_broadcast(spark, monkeypatch):
     assert np.allclose(found[0][2], found[1][2], rtol=0.02)
 
 
+def test_words_of_batches_are_those_of_texts(monkeypatch):
+    """White space at ends and in runs, other alphabets and separators that are none, cut into slices and chunks of any size."""
+    texts = ["", " ", "One", " a  b\t\n", "naïve ÖL \u00a0x\x1cy\x0bZ", "end ", "same " * 40, "A-Z\x00 q", *(f"w{i} w{i % 7}  " * (i % 5) for i in range(60))]
+    raw = [text.encode() for text in texts] + [b"\xff\xfe Bad \xc3"]
+    numbers = pairmodel.Numbers({b"same": 1, b"\n": 2, b"w3": 3})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(raw))), pa.array(raw, pa.binary())], names=["doc_id", "text"])
+    want = [list(map(numbers.__getitem__, pitmanyor.tokens(text))) for text in raw]
+    for size, most in ((1, 1), (30, 17), (1 << 22, 50), (1 << 22, 10**6)):
+        monkeypatch.setattr(pairmodel, "SLICE", size)
+        ids, sizes, found = [], [], []
+        for some, each, row in pairmodel.chunks([batch.slice(0, 9), batch.slice(9)], numbers, most):
+            assert len(row) == sum(each) + len(each) and (len(row) <= most + 1 or len(each) == 1)
+            ids, sizes, found = ids + some, sizes + each.tolist(), found + row.tolist()
+        assert ids == list(range(len(raw))) and sizes == list(map(len, want)) and found == [n for own in want for n in (0, *own)]
+
+
 def test_common_words_count_every_run(spark):
     """A word below any share of a flat vocabulary's long run still counts there."""
     flat = " ".join(f"w{i:05d}" for i in range(5000))
