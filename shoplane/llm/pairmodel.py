@@ -10,15 +10,16 @@ by the cut is never a hot one. Pairs with at least 1 / ``FREQUENT`` of the token
 a part is no hot key either. A part sends each chunk one block of sums by text.
 
 Pairs that occur once have one table always, as have words with one customer and contexts without a repeated pair: sweeps run
-over the others only, as rows, and only rows with a word that is not dense are joined. A table is deleted once the next
-sweep's is written. All sizes only cut the work; none drops anything.
+over the others only (``SEATS``), a part's in one block. A sweep has two steps. A part draws the tables of its seats, with its words that
+are not dense, and tells what it sends to dense words and to contexts: by ``range``, dense numbers dealt into groups of about ``RANGE``, or
+to the part of a context that is not dense. There they are summed, and parts are told the tables of the contexts that are not dense.
+A table is deleted once the next sweep's is written. All sizes only cut the work; none drops anything.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,10 +40,14 @@ DENSE = 1 << 21
 CHUNK = 1_000_000
 PART = 3_000_000
 SLICE = 1 << 22
+RANGE = 1 << 15
 RARE = 1 << 62  # numbers from here on are hashes
+PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)  # of XXH64
 BLOCKS = "part int, chunk long, kind int, block binary"
-#: Kinds of blocks: texts, pairs to score, pairs learnt, their tables, words and contexts that are not dense, sums, sums without their context.
-TEXTS, ASKED, PAIRS, TABLES, WORDS, CONTEXTS, SUMS, HALVES = range(8)
+#: Kinds of blocks: texts, pairs to score, pairs learnt, their seats, words and contexts that are not dense, sums, sums without their context.
+TEXTS, ASKED, PAIRS, SEATS, WORDS, CONTEXTS, SUMS, HALVES = range(8)
+#: Of the sweeps: dense words, words and contexts that no sweep changes, what parts tell, what they are told, totals.
+SHARED, ALONE, STILL, SENT, REPLY, TOTALS = range(8, 14)
 
 
 class Numbers(dict):
@@ -51,6 +56,12 @@ class Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         return RARE | xxhash.xxh64_intdigest(word) >> 2
 
+    def of(self, words: np.ndarray) -> np.ndarray:
+        found = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(found < 0)
+        found[rare] = RARE | (np.fromiter(map(xxhash.xxh64_intdigest, words[rare]), np.uint64, len(rare)) >> np.uint64(2)).astype(np.int64)
+        return found
+
 
 def coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The words of binary ``texts`` as ``tokens`` has them, without the end: distinct words, each token's place among them, tokens of each text."""
@@ -87,7 +98,7 @@ def chunks(batches, numbers: Numbers, most: int):
         row, word = np.empty(starts[-1], np.int64), np.ones(starts[-1], bool)
         row[starts[:-1]], row[starts[1:] - 1] = 0, numbers[END]
         word[starts[:-1]] = word[starts[1:] - 1] = False
-        row[word] = np.fromiter(map(numbers.__getitem__, words.to_pylist()), np.int64, len(words))[codes]
+        row[word] = numbers.of(words.to_numpy(zero_copy_only=False))[codes]
         at = 0
         while at < len(each):
             stop = int(np.searchsorted(starts[1:] - 1, most - n + starts[at], "right"))
@@ -148,20 +159,28 @@ def _dealt(u, w, parts: int, chunk: int, kind: int, columns) -> list[tuple]:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
+    flush = pitmanyor.FLUSH
+
     def count(batches):
+        found, n = [], 0
+
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"])
+            whole = pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return pa.table({"word": whole["word"], "n": whole["n_sum"]})
 
-        found: Counter = Counter()
         for part in (part for batch in batches for part in slices(batch)):
             words, codes, _ = coded(part.column("text"))
-            found[END] += part.num_rows
-            for word, n in zip(words.to_pylist(), np.bincount(codes, minlength=len(words)).tolist(), strict=True):
-                found[word] += n
-            if len(found) > pitmanyor.FLUSH:
-                yield rows()
-                found = Counter()
-        yield rows()
+            found.append(pa.table({"word": words, "n": np.bincount(codes, minlength=len(words))}))
+            found.append(pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([part.num_rows], pa.int64())}))
+            n += len(words) + 1
+            if n > 2 * flush:
+                found = [rows()]
+                n = len(found[0])
+                if n > flush:
+                    yield from found[0].combine_chunks().to_batches()
+                    found, n = [], 0
+        if found:
+            yield from rows().combine_chunks().to_batches()
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("cw"))
 
@@ -202,103 +221,230 @@ def pair_rows(pairs: DataFrame, keep) -> DataFrame:
     return pairs.mapInArrow(run, "u long, w long, c long")
 
 
-def margins(pairs: DataFrame) -> DataFrame:
-    """context, id, n, once, twice, more: of words, ``once`` counts the customers at the parent that stay (pairs seen once, first words)."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(33)) * PRIMES[1]
+    h = (h ^ h >> np.uint64(29)) * PRIMES[2]
+    return h ^ h >> np.uint64(32)
 
-    def run(batches):
-        for batch in batches:
-            for block in batch.column("block").to_pylist():
-                u, w, c = unpack(block, "iii")
-                start = u == 0
-                for context, ids, here in ((False, w, ~start), (True, u[~start], np.ones((~start).sum(), bool))):
-                    count = c if not context else c[~start]
-                    distinct, at = _distinct(ids)
-                    sums = [count, here & (count == 1), here & (count == 2), here & (count > 1)]
-                    sums = [np.bincount(at, x, len(distinct)).astype(np.int64) for x in sums]
-                    if not context:
-                        sums[1] += np.bincount(at, np.where(start, count, 0), len(distinct)).astype(np.int64)
-                    columns = [pa.array(np.full(len(distinct), context)), pa.array(distinct), *map(pa.array, sums)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["context", "id", "n", "once", "twice", "more"])
 
-    rows = pairs.mapInArrow(run, "context boolean, id long, n long, once long, twice long, more long")
-    return rows.groupBy("context", "id").agg(*[F.sum(x).alias(x) for x in ("n", "once", "twice", "more")])
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
 
 
-def sent(many: DataFrame) -> DataFrame:
-    """context, id, sent: the tables of each word over its contexts, and of each context over its words."""
+def draws(seed: int, number: int, *columns: np.ndarray) -> np.ndarray:
+    """A draw in [0, 1) for each row, repeatable however rows are dealt: the low 52 bits of Spark's ``xxhash64`` of the same values."""
+    h = np.full(1, 42, np.uint64)
+    for x in (seed, number):
+        h = h + PRIMES[4] + np.uint64(4) ^ np.full(1, x & 0xFFFFFFFF, np.uint64) * PRIMES[0]
+        h = _mixed(_turned(h, 23) * PRIMES[1] + PRIMES[2])
+    for x in columns:
+        h = h + PRIMES[4] + np.uint64(8) ^ _turned(x.astype(np.uint64) * PRIMES[1], 31) * PRIMES[0]
+        h = _mixed(_turned(h, 27) * PRIMES[0] + PRIMES[3])
+    return (h & np.uint64((1 << 52) - 1)).astype(np.float64) / float(1 << 52)
 
-    def run(batches):
-        def rows(found):
-            t = np.concatenate([x[2] for x in found])
-            for at in (0, 1):
-                distinct, place = _distinct(np.concatenate([x[at] for x in found]))
-                sums = np.bincount(place, t, len(distinct)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), at == 1)), pa.array(distinct), pa.array(sums)], names=["context", "id", "sent"])
 
-        found, n = [], 0
-        for batch in batches:
-            found.append([batch.column(x).to_numpy() for x in ("w", "u", "t")])
-            n += batch.num_rows
-            if n > pitmanyor.FLUSH:
-                yield from rows(found)
-                found, n = [], 0
-        if found:
-            yield from rows(found)
+def of_kind(blocks: pd.DataFrame, kind: int, types: str) -> list[np.ndarray]:
+    return unpack_all(blocks["block"][blocks["kind"] == kind], types)
 
-    return many.select("u", "w", "t").mapInArrow(run, "context boolean, id long, sent long").groupBy("context", "id").agg(F.sum("sent").alias("sent"))
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["part", "chunk", "kind", "block"]).astype({"part": "int32", "chunk": "int64", "kind": "int32"})
 
-def _lists(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    """A column of lists of equal length, a row each."""
-    return pc.list_flatten(column).to_numpy().reshape(rows, -1) if rows else np.zeros(0)
 
+def _told(part: int, words: list, contexts: list, parts: int, ranges: int) -> list[tuple]:
+    """What a part tells of dense words and of contexts (ids, then columns): to the range of a dense one, to the part of any other."""
+    ids, *columns = (np.concatenate(x) for x in zip(words, contexts, strict=True))
+    role = np.repeat([0, 1], [len(words[0]), len(contexts[0])])
+    to = np.where(ids >= RARE, ranges + part_of(ids, np.zeros_like(ids), parts), ids % ranges)
+    return [(key - ranges, part, SENT, pack(ids[at], role[at], *(x[at] for x in columns))) for key, at in runs(to)]
 
-def _array(rows: DataFrame, key: str, name: str, size: int) -> np.ndarray:
-    """``name`` of dense words by number; at most ``DENSE`` rows."""
-    found = rows.filter(F.col(key) < RARE).select(key, name).toArrow()
-    at, values = found.column(key).to_numpy(), found.column(name)
-    values = _lists(values, len(at)) if pa.types.is_list(values.type) else values.to_numpy()
-    out = np.zeros((size, *values.shape[1:]), values.dtype)
-    out[at] = values
-    return out
 
+def _heard(blocks: pd.DataFrame, n: int, ranges: int, columns: int) -> np.ndarray:
+    """Sums of what was told of the words of a range: by word, role and column."""
+    sums = np.zeros((n, 2, columns), np.int64)
+    for block in blocks["block"][blocks["kind"] == SENT]:
+        ids, role, *told = unpack(block, "ii" + "i" * columns)
+        sums[ids // ranges, role] += np.stack(told, axis=1)  # a word has one row a role in a block
+    return sums
 
-def _drawn(rows: DataFrame, name: str, totals: Totals, key: tuple, at_context: bool, dense=None) -> DataFrame:
-    """``rows`` with their tables ``name`` drawn anew: of contexts' dishes (c, t, tu, c0, t0) or of the parent's (c0, t0). ``key``: salt and
-    columns. ``dense``: c0, t0 and tu by number, where the rows do not have them."""
-    drawn = rows.withColumn("_draw", F.pmod(F.xxhash64(*key), F.lit(1 << 52)) / float(1 << 52))  # repeatable however rows are dealt
-    fields = [field for field in rows.schema if field.name != name]
+
+def first_seats(pairs: DataFrame, parts: int, ranges: int) -> DataFrame:
+    """From one table of each dish: a part's seats that can change, its words that are not dense, and what it tells."""
 
     def run(batches):
-        d0, d1 = totals.discounts
-        s0, s1 = totals.strengths
         for batch in batches:
-            of = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in batch.schema.names if x in ("c0", "t0", "_draw", "u", "w", "c", "t", "tu")}
-            if dense is not None:
-                c0, t0, tu = dense.value
-                of |= {"c0": c0[of["w"]], "t0": t0[of["w"]], "tu": tu[of["u"]]}
-            if at_context:
-                rise = at_parent_without(of["c0"], of["t0"], of["t"], totals)
-                found = draw_tables(of["c"], s1 + d1 * (of["tu"] - of["t"]), d1, of["_draw"], rise)
-            else:
-                found = draw_tables(of["c0"], s0 + d0 * (totals.tables[-1] - of["t0"]), d0, of["_draw"], 1 / (totals.vocabulary + 1))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(found, pa.int64())], names=[*[f.name for f in fields], name])
-
-    return drawn.mapInArrow(run, ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in fields], f"{name} bigint"]))
+            for part, block in zip(batch.column("part").to_pylist(), batch.column("block").to_pylist(), strict=True):
+                u, w, c = unpack(block, "iii")
+                start = u == 0
+                many, single = ~start & (c > 1), ~start & (c == 1)
+                ids, at = _distinct(w)
+                n, once, more = (np.bincount(at, x, len(ids)).astype(np.int64) for x in (c, np.where(start, c, single), many))
+                far = ids >= RARE
+                moving, alone = far & ((more > 0) | (once > 1)), far & (more == 0) & (once < 2)
+                one = np.ones(len(c), np.int64)
+                rows = [(part, 0, SEATS, pack(*(x[many] for x in (u, w, c, one)))), (part, 0, ALONE, pack(ids[alone], n[alone]))]
+                rows.append((part, 0, WORDS, pack(*(x[moving] for x in (ids, n, once, once + more, one[: len(ids)])))))
+                words = [x[~far] for x in (ids, n, once, more)]
+                ids, at = _distinct(u[~start])
+                contexts = [ids, *(np.bincount(at, x[~start], len(ids)).astype(np.int64) for x in (c, single, many))]
+                sums = (single.sum(), (~start & (c == 2)).sum(), c[start].sum() + (~start).sum(), alone.sum())
+                rows.append((part, 0, TOTALS, pack(*(np.array([x], np.int64) for x in sums))))
+                yield _rows(rows + _told(part, words, contexts, parts, ranges))
+
+    return pairs.mapInArrow(run, BLOCKS)
+
+
+def first_shared(seats: DataFrame, size: int, ranges: int) -> DataFrame:
+    """Dense words by range, other contexts by part, and the replies to the parts that hold seats of these."""
+
+    def run(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        part = int(key[0])
+        if part < 0:
+            ids = np.arange(part + ranges, size, ranges)
+            (cw, fixed, more), (cu, once, twice) = _heard(blocks, len(ids), ranges, 3).transpose(1, 2, 0)
+            return _frame([(part, 0, SHARED, pack(ids, cw, fixed, cu, once, fixed + more, np.minimum(fixed + more, 1), once + twice))])
+        told = [(sender, *unpack(block, "iiiii")) for sender, block in zip(blocks["chunk"].tolist(), blocks["block"], strict=True)]
+        ids, at = _distinct(np.concatenate([x[1] for x in told]))
+        n, once, more = (np.bincount(at, np.concatenate([x[k] for x in told]), len(ids)).astype(np.int64) for k in (3, 4, 5))
+        tu, moving = once + more, more > 0
+        rows = [(part, 0, CONTEXTS, pack(*(x[moving] for x in (ids, n, once, tu)))), (part, 0, STILL, pack(*(x[~moving] for x in (ids, n, once))))]
+        for sender, some, _, _, _, seats in told:
+            some = some[seats > 0]
+            rows.append((sender, part, REPLY, pack(some, tu[np.searchsorted(ids, some)])))
+        return _frame(rows)
+
+    return seats.filter(F.col("kind") == SENT).groupBy("part").applyInPandas(run, BLOCKS)
+
+
+def seated(seats: DataFrame, shared: DataFrame, dense, totals: Totals, seed: int, number: int, kept: int, keeps: bool, parts: int, ranges: int) -> DataFrame:
+    """Tables of all seats drawn anew, then those at the parent of the words that are not dense; ``kept``: samples so far."""
+
+    def run(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        (d0, d1), (s0, s1) = totals.discounts, totals.strengths
+        part, (dense_c0, dense_t0, dense_tu) = int(key[0]), dense.value
+        u, w, c, t, *ts = of_kind(blocks, SEATS, "iiii" + "i" * kept)
+        ids, cw, fixed, c0, t0, *samples = of_kind(blocks, WORDS, "iiiii" + "ii" * kept)
+        far_u, reply = _sorted(of_kind(blocks, REPLY, "ii"))
+        rare_w, rare_u = np.flatnonzero(w >= RARE), np.flatnonzero(u >= RARE)
+        at_w, at_u = np.searchsorted(ids, w[rare_w]), np.searchsorted(far_u, u[rare_u])
+
+        def looked(dense, at, rare, place, values):
+            found = dense[np.where(at < RARE, at, 0)]
+            found[rare] = values[place]
+            return found
+
+        rise = at_parent_without(looked(dense_c0, w, rare_w, at_w, c0), looked(dense_t0, w, rare_w, at_w, t0), t, totals)
+        t = draw_tables(c, s1 + d1 * (looked(dense_tu, u, rare_u, at_u, reply) - t), d1, draws(seed, number, u, w), rise)
+        c0 = fixed + np.bincount(at_w, t[rare_w], len(ids)).astype(np.int64)
+        t0 = draw_tables(c0, s0 + d0 * (totals.tables[-1] - t0), d0, draws(seed, number, ids), 1 / (totals.vocabulary + 1))
+        rows = [(part, 0, SEATS, pack(u, w, c, t, *ts, *[t] * keeps)), (part, 0, WORDS, pack(ids, cw, fixed, c0, t0, *samples, *[c0, t0] * keeps))]
+        rows.append((part, 0, TOTALS, pack(c0.sum(keepdims=True), t0.sum(keepdims=True))))
+        sums = [np.bincount(x[x < RARE], t[x < RARE], 1).astype(np.int64) for x in (w, u)]
+        words, contexts = ([np.flatnonzero(x), x[x > 0]] for x in sums)
+        here = np.bincount(at_u, t[rare_u], len(far_u)).astype(np.int64)
+        contexts = [np.concatenate([contexts[0], far_u]), np.concatenate([contexts[1], here])]
+        return _frame(rows + _told(part, words, contexts, parts, ranges))
+
+    given = seats.filter(F.col("kind").isin(SEATS, WORDS)).unionByName(shared.filter(F.col("kind") == REPLY))
+    return given.groupBy("part").applyInPandas(run, BLOCKS)
+
+
+def shares(seats: DataFrame, shared: DataFrame, totals: Totals, seed: int, number: int, kept: int, keeps: bool, ranges: int) -> DataFrame:
+    """What parts share after a sweep: customers and tables at the parent of dense words, tables of dense contexts and of others."""
+
+    def run(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        part, d0, s0 = int(key[0]), totals.discounts[0], totals.strengths[0]
+        if part < 0:
+            ids, cw, fixed, cu, once, c0, t0, tu, *samples = of_kind(blocks, SHARED, "i" * (8 + 3 * kept))
+            heard = _heard(blocks, len(ids), ranges, 1)
+            c0, tu = fixed + heard[:, 0, 0], once + heard[:, 1, 0]
+            t0 = draw_tables(c0, s0 + d0 * (totals.tables[-1] - t0), d0, draws(seed, number, ids), 1 / (totals.vocabulary + 1))
+            block = pack(ids, cw, fixed, cu, once, c0, t0, tu, *samples, *[c0, t0, tu] * keeps)
+            return _frame([(part, 0, SHARED, block), (part, 0, TOTALS, pack(c0.sum(keepdims=True), t0.sum(keepdims=True)))])
+        ids, cu, once, tu, *samples = of_kind(blocks, CONTEXTS, "iiii" + "i" * kept)
+        tu, sent = once.copy(), blocks[blocks["kind"] == SENT]
+        told = [(sender, *unpack(block, "iii")) for sender, block in zip(sent["chunk"].tolist(), sent["block"], strict=True)]
+        places = [np.searchsorted(ids, some) for _, some, _, _ in told]
+        for at, (_, _, _, t) in zip(places, told, strict=True):
+            tu[at] += t
+        rows = [(part, 0, CONTEXTS, pack(ids, cu, once, tu, *samples, *[tu] * keeps))]
+        return _frame(rows + [(sender, part, REPLY, pack(some, tu[at])) for at, (sender, some, _, _) in zip(places, told, strict=True)])
+
+    given = seats.filter(F.col("kind") == SENT).unionByName(shared.filter(F.col("kind").isin(SHARED, CONTEXTS)))
+    return given.groupBy("part").applyInPandas(run, BLOCKS)
+
+
+def _blocks(frame: DataFrame, kind: int, types: str):
+    """The blocks of a kind on the driver, one at a time; for dense words and sums by part only."""
+    for row in frame.filter(F.col("kind") == kind).select("block").toArrow().column("block").to_pylist():
+        yield unpack(row, types)
+
+
+def _arrays(shared: DataFrame, size: int, types: str) -> list[np.ndarray]:
+    """What is known of dense words by number, at most ``DENSE``; the first column of their blocks is the number."""
+    out = [np.zeros(size, np.int64 if x == "i" else np.float64) for x in types[1:]]
+    for ids, *columns in _blocks(shared, SHARED, types):
+        for array, column in zip(out, columns, strict=True):
+            array[ids] = column
+    return out
 
 
 class PairModel:
-    """A fitted model of all contexts: blocks of pairs, rows many (u, w, c, ts: tables of pairs seen twice or more, per sample), words (w, cw, ps: parent
-    probability per sample), contexts (u, cu, back: share that goes to the parent, per sample), all by number. ``sweeps`` has the totals of all
-    sweeps: the parent's customers, which are the contexts' tables and the first words, and its tables."""
+    """A fitted model of all contexts, in blocks: of pairs, of seats (u, w, c, t, ts: tables of pairs seen twice or more, per sample), and of words: dense
+    ones (number, cw, cu, ps: parent probability per sample, back: share that goes to the parent, per sample), others (w, cw, ps) and contexts that are not
+    dense (u, cu, back). ``many``, ``words``, ``contexts`` and ``pairs`` have them as rows. ``sweeps`` has the totals of all sweeps: the parent's
+    customers, which are the contexts' tables and the first words, and its tables."""
 
-    def __init__(self, numbers: Numbers, parts: int, blocks: DataFrame, many: DataFrame, words: DataFrame, contexts: DataFrame, samples: list[Totals], sweeps: list[Totals], n_tokens: int):
-        self.numbers, self.parts, self.blocks, self.many, self.words, self.contexts = numbers, parts, blocks, many, words, contexts
+    def __init__(self, numbers: Numbers, parts: int, blocks: DataFrame, seats: DataFrame, known: DataFrame, samples: list[Totals], sweeps: list[Totals], n_tokens: int):
+        self.numbers, self.parts, self.blocks, self.seats, self.known = numbers, parts, blocks, seats, known
         self.samples, self.sweeps, self.n_tokens, self.vocabulary = samples, sweeps, n_tokens, samples[0].vocabulary
 
     def unknown(self) -> list[float]:
         return [float(total.parent(np.zeros(1), np.zeros(1))[0]) for total in self.samples]
 
+    def seat_rows(self, keep) -> DataFrame:
+        """u, w, c, ts of the seats where ``keep`` holds of the first three."""
+        n = len(self.samples)
+
+        def run(batches):
+            for batch in batches:
+                for block in batch.column("block").to_pylist():
+                    u, w, c, _, *ts = unpack(block, "iiii" + "i" * n)
+                    at = keep(u, w, c)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in (u, w, c)), _listed([x[at] for x in ts])], names=["u", "w", "c", "ts"])
+
+        return self.seats.mapInArrow(run, "u long, w long, c long, ts array<long>")
+
+    @property
+    def many(self) -> DataFrame:
+        return self.seat_rows(lambda u, w, c: c > 1)
+
+    def _known(self, kind: int, names: str, word: bool) -> DataFrame:
+        n = len(self.samples)
+        own = "ii" + "f" * n
+
+        def run(batches):
+            for batch in batches:
+                for found, block in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), strict=True):
+                    if found == SHARED:
+                        ids, cw, cu, *rest = unpack(block, "iii" + "f" * (2 * n))
+                        count, each = (cw, rest[:n]) if word else (cu, rest[n:])
+                        at = count > 0
+                        ids, count, each = ids[at], count[at], [x[at] for x in each]
+                    else:
+                        ids, count, *each = unpack(block, own)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count), _listed(each)], names=[x.split()[0] for x in names.split(", ")])
+
+        return self.known.filter(F.col("kind").isin(SHARED, kind)).mapInArrow(run, names)
+
+    @property
+    def words(self) -> DataFrame:
+        return self._known(WORDS, "w long, cw long, ps array<double>", True)
+
+    @property
+    def contexts(self) -> DataFrame:
+        return self._known(CONTEXTS, "u long, cu long, back array<double>", False)
+
     @property
     def pairs(self) -> DataFrame:
         """u, w, c, pu: every pair learnt, and the probability of w after u."""
@@ -312,6 +458,49 @@ class PairModel:
         return rows.select("u", "w", "c", (sum(each, F.lit(0.0)) / len(each)).alias("pu"))
 
 
+def _listed(columns: list[np.ndarray]) -> pa.Array:
+    """Columns as one of lists, a list a row."""
+    n = len(columns[0])
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(columns), pa.int32()), pa.array(np.stack(columns, axis=1).ravel()))
+
+
+def known(frame: DataFrame, samples: list[Totals]) -> DataFrame:
+    """Blocks of words and contexts with their probabilities at the parent and shares that go there, per sample."""
+
+    def run(batches):
+        n = len(samples)
+        (d0, d1), (s0, s1) = samples[0].discounts, samples[0].strengths
+
+        def parents(c0s, t0s):
+            for total, c0, t0 in zip(samples, c0s, t0s, strict=True):
+                base = (s0 + d0 * float(total.tables[-1])) / (total.vocabulary + 1)
+                yield (np.maximum(c0 - d0 * t0, 0.0) + base) / (s0 + float(total.customers[-1]))
+
+        def back(cu, tus):
+            return [(s1 + d1 * tu) / (s1 + cu) for tu in tus]
+
+        for batch in batches:
+            for part, kind, block in zip(*(batch.column(x).to_pylist() for x in ("part", "kind", "block")), strict=True):
+                if kind == SHARED:
+                    ids, cw, _, cu, _, _, _, _, *rest = unpack(block, "i" * (8 + 3 * n))
+                    columns = [ids, cw, cu, *parents(rest[::3], rest[1::3]), *back(cu, rest[2::3])]
+                elif kind == WORDS:
+                    ids, cw, _, _, _, *rest = unpack(block, "i" * (5 + 2 * n))
+                    columns = [ids, cw, *parents(rest[::2], rest[1::2])]
+                elif kind == ALONE:
+                    ids, cw = unpack(block, "ii")
+                    kind, columns = WORDS, [ids, cw, *parents([np.ones(len(ids))] * n, [1] * n)]
+                elif kind == CONTEXTS:
+                    ids, cu, _, _, *rest = unpack(block, "i" * (4 + n))
+                    columns = [ids, cu, *back(cu, rest)]
+                else:
+                    ids, cu, once = unpack(block, "iii")
+                    kind, columns = CONTEXTS, [ids, cu, *back(cu, [once] * n)]
+                yield _rows([(part, 0, kind, pack(*columns))])
+
+    return frame.mapInArrow(run, BLOCKS)
+
+
 def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -> PairModel:
     spark, texts, paths = documents.sparkSession, pitmanyor._texts(documents), {}
 
@@ -336,69 +525,27 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
     numbers, size = Numbers((word, at + 1) for at, word in enumerate(often)), len(often) + 1
     del often
     delete("counts")
-    shared, parts = spark.sparkContext.broadcast(numbers), max(1, -(-n["n"] // PART))
-    pairs = keep("pairs", pair_blocks(texts, shared, parts))
-    both = keep("margins", margins(pairs))
-    one, nothing = F.lit(1).cast("long"), F.array().cast("array<bigint>")
-    every_word, every_context = both.filter(~F.col("context")), both.filter("context")
-    moving = (F.col("more") > 0) | (F.col("once") > 1)
-    c0 = (F.col("once") + F.col("more")).alias("c0")
-    words = every_word.filter(moving).select(F.col("id").alias("w"), F.col("once").alias("fixed"), c0, one.alias("t0"), nothing.alias("c0s"), nothing.alias("t0s"))
-    contexts = every_context.filter("more > 0").select(F.col("id").alias("u"), "once", (F.col("once") + F.col("more")).alias("tu"), nothing.alias("tus"))
-    many = pair_rows(pairs, lambda u, w, c: (u != 0) & (c > 1)).select("u", "w", "c", one.alias("t"), nothing.alias("ts"))
-    m = both.agg(*[F.coalesce(F.sum(F.when(F.col("context"), F.col(x))), F.lit(0)).alias(y) for x, y in (("once", "m1"), ("twice", "m2"))], F.count_if(~F.col("context") & ~moving).alias("alone")).first()
-    discounts = (discount(n["n1"], n["n2"]), discount(m["m1"], m["m2"]))
-    start = every_word.agg(F.coalesce(F.sum("once"), F.lit(0)).alias("once"), F.coalesce(F.sum("more"), F.lit(0)).alias("more")).first()
-    totals = Totals(np.array([start["once"] + start["more"]]), np.array([n["v"]]), n["v"], discounts, strengths)
-    words, contexts, many, every = keep("words", words), keep("contexts", contexts), keep("seating", many), []
+    broadcast, parts, ranges = spark.sparkContext.broadcast(numbers), max(1, -(-n["n"] // PART)), -(-size // RANGE)
+    pairs = keep("pairs", pair_blocks(texts, broadcast, parts))
+    first = keep("first", first_seats(pairs, parts, ranges))
+    told = keep("told", first_shared(first, size, ranges))
+    once, twice, customers, alone = (sum(x) for x in zip([0] * 4, *([int(x[0]) for x in row] for row in _blocks(first, TOTALS, "iiii")), strict=True))
+    discounts = (discount(n["n1"], n["n2"]), discount(once, twice))
+    totals, every, seats, shared = Totals(np.array([customers]), np.array([n["v"]]), n["v"], discounts, strengths), [], first, told
     for number in range(sweeps):
-
-        def kept(frame, number=number, **arrays):
-            return frame.withColumns({name: F.concat(name, F.array(value)) for name, value in arrays.items()}) if number >= burn_in else frame
-
-        dense = spark.sparkContext.broadcast((_array(words, "w", "c0", size), _array(words, "w", "t0", size), _array(contexts, "u", "tu", size)))
-        near, key = (F.col("u") < RARE) & (F.col("w") < RARE), (F.lit(seed), F.lit(number), "u", "w")
-        far = many.filter(~near).join(words.select("w", "c0", "t0"), "w").join(contexts.select("u", "tu"), "u")
-        far = _drawn(far, "t", totals, key, True).select("u", "w", "c", "ts", "t")
-        here = _drawn(many.filter(near), "t", totals, key, True, dense).select("u", "w", "c", "ts", "t")
-        many = keep("seating", kept(here.unionByName(far), ts="t"))
-        each = keep("sent", sent(many))
-        moved = words.join(each.filter(~F.col("context")).select(F.col("id").alias("w"), "sent"), "w", "left").withColumn("c0", F.col("fixed") + F.coalesce("sent", F.lit(0))).drop("sent")
-        words = keep("words", kept(_drawn(moved, "t0", totals, (F.lit(seed), F.lit(number), "w"), False), c0s="c0", t0s="t0"))
-        gone = each.filter("context").select(F.col("id").alias("u"), "sent")
-        contexts = keep("contexts", kept(contexts.join(gone, "u", "left").withColumn("tu", F.col("once") + F.coalesce("sent", F.lit(0))).drop("sent"), tus="tu"))
-        row = words.agg(F.coalesce(F.sum("c0"), F.lit(0)).alias("c"), F.coalesce(F.sum("t0"), F.lit(0)).alias("t")).first()
-        totals = Totals(np.array([row["c"] + m["alone"]]), np.array([row["t"] + m["alone"]]), n["v"], discounts, strengths)
+        kept, keeps = max(0, number - burn_in), number >= burn_in
+        dense = spark.sparkContext.broadcast(tuple(_arrays(shared, size, "i" * (8 + 3 * kept))[4:7]))
+        seats = keep("seats", seated(seats, shared, dense, totals, seed, number, kept, keeps, parts, ranges))
+        shared = keep("shared", shares(seats, shared, totals, seed, number, kept, keeps, ranges))
+        sums = [[int(x[0]) for x in row] for frame in (seats, shared) for row in _blocks(frame, TOTALS, "ii")]
+        totals = Totals(np.array([sum(c for c, _ in sums) + alone]), np.array([sum(t for _, t in sums) + alone]), n["v"], discounts, strengths)
         every.append(totals)
-    samples, parents, backs = every[burn_in:], [], []
-    for at, total in enumerate(samples):
-        base = (strengths[0] + discounts[0] * float(total.tables[-1])) / (n["v"] + 1)
-        own = F.greatest(F.coalesce(F.col("c0s")[at], F.lit(1)) - discounts[0] * F.coalesce(F.col("t0s")[at], F.lit(1)), F.lit(0.0))
-        parents.append((own + base) / (strengths[0] + float(total.customers[-1])))
-        backs.append((strengths[1] + discounts[1] * F.coalesce(F.col("tus")[at], F.col("single"))) / (strengths[1] + F.col("cu")))
-    every_word = every_word.select(F.col("id").alias("w"), F.col("n").alias("cw")).join(words.select("w", "c0s", "t0s"), "w", "left")
-    every_context = every_context.select(F.col("id").alias("u"), F.col("n").alias("cu"), F.col("once").alias("single")).join(contexts.select("u", "tus"), "u", "left")
-    found = keep("parent", every_word.select("w", "cw", F.array(*parents).alias("ps"))), keep("back", every_context.select("u", "cu", F.array(*backs).alias("back")))
-    for name in ("margins", "words", "contexts", "sent"):
+    last = seats.filter(F.col("kind") == WORDS).unionByName(shared.filter(F.col("kind").isin(SHARED, CONTEXTS)))
+    last = last.unionByName(first.filter(F.col("kind") == ALONE)).unionByName(told.filter(F.col("kind") == STILL))
+    found = keep("known", known(last, every[burn_in:]))
+    for name in ("first", "told", "shared"):
         delete(name)
-    return PairModel(numbers, parts, pairs, many.select("u", "w", "c", "ts"), *found, samples, every, n["n"])
-
-
-def _as_blocks(rows: DataFrame, parts: int, kind: int, u: str, w: str, plain: tuple, arrays: tuple) -> DataFrame:
-    """Rows dealt as blocks to the part of (u, w); a name of "" stands for no word."""
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in plain]
-            for x in arrays:
-                columns += list(batch.column(x).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).T)
-            zero = np.zeros(batch.num_rows, np.int64)
-            a, b = (batch.column(x).to_numpy(zero_copy_only=False) if x else zero for x in (u, w))
-            yield _rows(_dealt(a, b, parts, 0, kind, columns))
-
-    return rows.mapInArrow(run, BLOCKS)
+    return PairModel(numbers, parts, pairs, seats.filter(F.col("kind") == SEATS), found, every[burn_in:], every, n["n"])
 
 
 def _at(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -418,9 +565,9 @@ def _frequent(model: PairModel, least: int, ps: np.ndarray, cu: np.ndarray, back
     """Keys of the pairs of dense words seen ``least`` times or more, in order, and the logarithms of their probabilities; bounded by FREQUENT."""
     d, s = model.samples[0].discounts[1], model.samples[0].strengths[1]
     first = pair_rows(model.blocks, lambda u, w, c: (u == 0) & (c >= least) & (w < RARE)).select("w").toArrow()
-    rows = model.many.filter((F.col("c") >= least) & (F.col("u") < RARE) & (F.col("w") < RARE)).toArrow()
+    rows = model.seat_rows(lambda u, w, c: (c >= least) & (u < RARE) & (w < RARE)).toArrow()
     u, w, c = (rows.column(x).to_numpy() for x in ("u", "w", "c"))
-    ts = _lists(rows.column("ts"), len(u)).reshape(len(u), len(model.samples))
+    ts = pc.list_flatten(rows.column("ts")).to_numpy().reshape(len(u), len(model.samples))
     p = (np.maximum(c[:, None] - d * ts, 0) / (s + cu[u])[:, None] + back[u] * ps[w]).mean(axis=1)
     w0 = first.column("w").to_numpy()
     keys, logs = np.concatenate([w0, (u << 31) + w]), np.log10(np.concatenate([ps[w0].mean(axis=1), p]))
@@ -430,11 +577,8 @@ def _frequent(model: PairModel, least: int, ps: np.ndarray, cu: np.ndarray, back
 def score(documents: DataFrame, model: PairModel) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every document."""
     spark, samples, parts = documents.sparkSession, len(model.samples), model.parts
-    size = len(model.numbers) + 1
-    ps, cw = (_array(model.words, "w", x, size).reshape(size, -1) for x in ("ps", "cw"))
-    back, cu = (_array(model.contexts, "u", x, size).reshape(size, -1) for x in ("back", "cu"))
-    ps, back = (x if x.shape[1] == samples else np.zeros((size, samples)) for x in (ps, back))
-    cw, cu, unknown = cw[:, 0], cu[:, 0], np.array(model.unknown())
+    cw, cu, *rest = _arrays(model.known, len(model.numbers) + 1, "iii" + "f" * (2 * samples))
+    ps, back, unknown = np.stack(rest[:samples], axis=1), np.stack(rest[samples:], axis=1), np.array(model.unknown())
     back[cu == 0] = 1  # no context: all goes to the parent, as for first words
     least = max(2, -(-model.n_tokens // pitmanyor.FREQUENT))
     divisor = math.log10(model.n_tokens + model.vocabulary + 1)
@@ -464,9 +608,6 @@ def score(documents: DataFrame, model: PairModel) -> DataFrame:
         distinct, at = np.unique(text, return_inverse=True)
         return pack(distinct, np.bincount(at, known, len(distinct)).astype(np.int64), np.bincount(at, base, len(distinct)), np.bincount(at, part, len(distinct)))
 
-    def of_kind(blocks: pd.DataFrame, kind: int, types: str):
-        return unpack_all(blocks["block"][blocks["kind"] == kind], types)
-
     def answer(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         _, dense_ps, dense_cw, dense_back, dense_cu, _, _ = shared.value
         asked, out = blocks[blocks["kind"] == ASKED], []
@@ -474,10 +615,8 @@ def score(documents: DataFrame, model: PairModel) -> DataFrame:
         pu, pw, pc = of_kind(blocks, PAIRS, "iii")
         us, ws, pairs = _places(pu, pw)  # in order, as the block is
         pt = np.ones((len(pairs), samples))
+        pt[(pu != 0) & (pc > 1)] = np.stack(of_kind(blocks, SEATS, "iiii" + "i" * samples)[4:], axis=1)  # in the same order
         del pu, pw
-        tu, tw, *ts = of_kind(blocks, TABLES, "ii" + "i" * samples)
-        pt[np.searchsorted(pairs, np.searchsorted(us, tu) * max(1, len(ws)) + np.searchsorted(ws, tw))] = np.stack(ts, axis=1)
-        del tu, tw, ts
         rare_w, rare_cw, *rare_ps = _sorted(of_kind(blocks, WORDS, "ii" + "f" * samples))
         rare_u, rare_cu, *rare_back = _sorted(of_kind(blocks, CONTEXTS, "ii" + "f" * samples))
         rare_ps, rare_back = np.stack(rare_ps, axis=1), np.stack(rare_back, axis=1)
@@ -538,9 +677,8 @@ def score(documents: DataFrame, model: PairModel) -> DataFrame:
         return pd.DataFrame({"doc_id": doc_id, "n_tokens": sizes, "n_known": known, "base_score": base, "score": part})
 
     given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    far = _as_blocks(model.contexts.filter(F.col("u") >= RARE), parts, CONTEXTS, "u", "", ("u", "cu"), ("back",))
-    learnt = model.blocks.unionByName(_as_blocks(model.many, parts, TABLES, "u", "w", ("u", "w"), ("ts",)))
-    learnt = learnt.unionByName(_as_blocks(model.words.filter(F.col("w") >= RARE), parts, WORDS, "", "w", ("w", "cw"), ("ps",))).unionByName(far)
+    far = model.known.filter(F.col("kind") == CONTEXTS)
+    learnt = model.blocks.unionByName(model.seats).unionByName(model.known.filter(F.col("kind").isin(WORDS, CONTEXTS)))
     answered = stored(given.mapInArrow(ask, BLOCKS).unionByName(learnt).groupBy("part").applyInPandas(answer, BLOCKS), "lm-sums")
     halves = answered.filter(F.col("kind") == HALVES).unionByName(far).groupBy("part").applyInPandas(finish, BLOCKS)
     rows = answered.filter(F.col("kind") != HALVES).unionByName(halves)
