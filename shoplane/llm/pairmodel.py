@@ -11,7 +11,7 @@ a part is no hot key either. A part sends each chunk one block of sums by text.
 
 Pairs that occur once have one table always, as have words with one customer and contexts without a repeated pair: sweeps run
 over the others only (``SEATS``), a part's in one block. A sweep has two steps. A part draws the tables of its seats, with its words that
-are not dense, and tells what it sends to dense words and to contexts: by ``range``, dense numbers dealt into groups of about ``RANGE``, or
+are not dense, and tells what it sends to dense words and to contexts: to a range, dense numbers dealt into groups of about ``RANGE``, or
 to the part of a context that is not dense. There they are summed, and parts are told the tables of the contexts that are not dense.
 A table is deleted once the next sweep's is written. All sizes only cut the work; none drops anything.
 """
@@ -113,6 +113,7 @@ def chunks(batches, numbers: Numbers, most: int):
                 ids, sizes, found, n = [], [], [], 0
     if ids:
         yield chunk()
+    pa.default_memory_pool().release_unused()  # else a worker holds it on into other stages
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,6 +182,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     found, n = [], 0
         if found:
             yield from rows().combine_chunks().to_batches()
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("cw"))
 
@@ -380,11 +382,11 @@ def _blocks(frame: DataFrame, kind: int, types: str):
         yield unpack(row, types)
 
 
-def _arrays(shared: DataFrame, size: int, types: str) -> list[np.ndarray]:
-    """What is known of dense words by number, at most ``DENSE``; the first column of their blocks is the number."""
-    out = [np.zeros(size, np.int64 if x == "i" else np.float64) for x in types[1:]]
+def _arrays(shared: DataFrame, size: int, types: str, start: int, stop: int) -> list[np.ndarray]:
+    """Columns of what is known of dense words by number, at most ``DENSE``; the first column of their blocks is the number."""
+    out = [np.zeros(size, np.int64 if x == "i" else np.float64) for x in types[start:stop]]
     for ids, *columns in _blocks(shared, SHARED, types):
-        for array, column in zip(out, columns, strict=True):
+        for array, column in zip(out, columns[start - 1 : stop - 1], strict=True):
             array[ids] = column
     return out
 
@@ -534,7 +536,7 @@ def fit(documents: DataFrame, sweeps: int, burn_in: int, strengths, seed: int) -
     totals, every, seats, shared = Totals(np.array([customers]), np.array([n["v"]]), n["v"], discounts, strengths), [], first, told
     for number in range(sweeps):
         kept, keeps = max(0, number - burn_in), number >= burn_in
-        dense = spark.sparkContext.broadcast(tuple(_arrays(shared, size, "i" * (8 + 3 * kept))[4:7]))
+        dense = spark.sparkContext.broadcast(tuple(_arrays(shared, size, "i" * (8 + 3 * kept), 5, 8)))
         seats = keep("seats", seated(seats, shared, dense, totals, seed, number, kept, keeps, parts, ranges))
         shared = keep("shared", shares(seats, shared, totals, seed, number, kept, keeps, ranges))
         sums = [[int(x[0]) for x in row] for frame in (seats, shared) for row in _blocks(frame, TOTALS, "ii")]
@@ -577,7 +579,8 @@ def _frequent(model: PairModel, least: int, ps: np.ndarray, cu: np.ndarray, back
 def score(documents: DataFrame, model: PairModel) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every document."""
     spark, samples, parts = documents.sparkSession, len(model.samples), model.parts
-    cw, cu, *rest = _arrays(model.known, len(model.numbers) + 1, "iii" + "f" * (2 * samples))
+    types = "iii" + "f" * (2 * samples)
+    cw, cu, *rest = _arrays(model.known, len(model.numbers) + 1, types, 1, len(types))
     ps, back, unknown = np.stack(rest[:samples], axis=1), np.stack(rest[samples:], axis=1), np.array(model.unknown())
     back[cu == 0] = 1  # no context: all goes to the parent, as for first words
     least = max(2, -(-model.n_tokens // pitmanyor.FREQUENT))

@@ -299,6 +299,37 @@ def test_every_word_is_a_context(spark, monkeypatch, dense, chunk, part):
             assert (found["n_tokens"], found["n_known"]) == (len(own), known)
 
 
+def test_sweeps_go_by_part_not_by_row(spark, monkeypatch):
+    """Seats of a part lie in one block, and so does what is known of its words; nothing the sweeps keep has a row a pair or a word."""
+    for name, value in (("DENSE", 300), ("PART", 4000), ("RANGE", 8)):
+        monkeypatch.setattr(pairmodel, name, value)
+    model = pitmanyor.fit(spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id < 60"))
+    ranges = -(-(len(model.numbers) + 1) // 8)
+    assert model.parts > 3 and ranges > 1 and model.many.count() > 5 * model.parts
+    assert model.seats.count() == model.seats.select("part").distinct().count() == model.parts
+    assert model.known.count() <= 4 * model.parts + ranges < model.words.count() / 10
+    assert model.words.select("w").distinct().count() == model.words.count() == model.vocabulary
+    assert sum(r["c"] for r in model.pairs.select("c").collect()) == model.n_tokens
+
+
+def test_draws_are_those_of_spark(spark):
+    rows = spark.range(0, 1 << 62, 1 << 52).select(F.xxhash64("id").bitwiseAND(F.lit((1 << 62) - 1)).alias("u"), F.col("id").alias("w"))
+    rows = rows.withColumn("x", F.pmod(F.xxhash64(F.lit(10), F.lit(3), "u", "w"), F.lit(1 << 52)) / float(1 << 52)).collect()
+    u, w = (np.array([r[x] for r in rows], np.int64) for x in ("u", "w"))
+    assert pairmodel.draws(10, 3, u, w).tolist() == [r["x"] for r in rows]
+
+
+def test_word_counts_whenever_they_are_passed_on(spark, monkeypatch):
+    """Counts add up however often a task passes on what it has, and empty texts count their end."""
+    texts = [None, "", *(" ".join(f"w{(i * j) % 23} Same" for j in range(i % 9)) for i in range(40))]
+    frame = spark.createDataFrame([(x,) for x in texts], "text string").coalesce(2)
+    want = Counter(word for x in texts for word in pitmanyor.tokens((x or "").encode()))
+    for flush, size in ((3, 20), (1 << 20, 1 << 22)):
+        monkeypatch.setattr(pitmanyor, "FLUSH", flush)
+        monkeypatch.setattr(pairmodel, "SLICE", size)
+        assert {bytes(r["word"]): r["cw"] for r in pairmodel.word_counts(pitmanyor._texts(frame)).collect()} == want
+
+
 def test_model_does_not_depend_on_what_is_broadcast(spark, monkeypatch):
     """Counts, and so the start of all restaurants, are the same; draws go by a word's number, so totals differ by chance only."""
     documents = spark.read.parquet(f"{MIDDLE}/documents.parquet")
